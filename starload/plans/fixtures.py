@@ -103,3 +103,95 @@ def raw_hires(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_departments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(spark, sf_dir, "supplier", RAW_DEPARTMENTS)
+
+
+# ---------------------------------------------------------------------------------------------
+# Message stream ← events: one envelope per event, in event_id order, 1000 messages per batch.
+# The payload varies with event_id so that every rule fires; ids and keys come from the data.
+# ---------------------------------------------------------------------------------------------
+_N = "event_id"
+_U = "CAST(user_id AS STRING)"
+_TS_SEC = "CAST(date_trunc('second', ts) AS STRING)"
+_TABLE = f"""CASE WHEN {_N} % 50 = 7 THEN 'zzz'
+        WHEN {_N} % 10 = 1 THEN 'departments'
+        WHEN {_N} % 10 = 2 THEN 'jobs'
+        ELSE 'hired_employees' END"""
+_FACT_ID = f"""CASE {_N} % 23
+        WHEN 0 THEN '"id":0,'
+        WHEN 1 THEN '"id":2147483648,'
+        WHEN 2 THEN '"id":"x",'
+        WHEN 3 THEN '"id":null,'
+        WHEN 4 THEN ''
+        WHEN 5 THEN '"id":' || CAST(user_id * 10 AS STRING) || ','
+        WHEN 6 THEN '"id":"' || CAST({_N} + 20000000 AS STRING) || '",'
+        ELSE '"id":' || CAST({_N} + 20000000 AS STRING) || ',' END"""
+_DIM_ID = f"""CASE {_N} % 7
+        WHEN 0 THEN ''
+        WHEN 1 THEN '"id":0,'
+        WHEN 2 THEN '"id":"x",'
+        WHEN 3 THEN '"id":' || {_U} || ','
+        WHEN 4 THEN '"id":-1,'
+        ELSE '"id":' || CAST({_N} + 20000000 AS STRING) || ',' END"""
+_NAME = f"""CASE {_N} % 19
+        WHEN 0 THEN '"name":"A",'
+        WHEN 1 THEN '"name":"  ",'
+        WHEN 2 THEN '"name":"Ana3",'
+        WHEN 3 THEN '"name":"' || repeat('a', 256) || '",'
+        WHEN 4 THEN ''
+        WHEN 5 THEN '"name":0,'
+        WHEN 6 THEN '"name":"Ana-M. Gil",'
+        WHEN 7 THEN '"name":"Üna",'
+        WHEN 8 THEN '"name":"Ana Ñu",'
+        WHEN 9 THEN '"name":true,'
+        WHEN 10 THEN '"name":"' || repeat('b', 255) || '",'
+        ELSE '"name":"Emp ' || translate({_U}, '0123456789', 'abcdefghij') || '",' END"""
+_DATETIME = f"""CASE {_N} % 17
+        WHEN 0 THEN '"datetime":"bad",'
+        WHEN 1 THEN '"datetime":20230101,'
+        WHEN 2 THEN '"datetime":"2026-01-01T00:00:00",'
+        WHEN 3 THEN '"datetime":"' || replace({_TS_SEC}, ' ', 'T') || 'Z",'
+        WHEN 4 THEN '"datetime":"2023-01-01T10:00:00.5",'
+        WHEN 5 THEN '"datetime":"' || {_TS_SEC} || '",'
+        WHEN 6 THEN ''
+        WHEN 7 THEN '"datetime":"2023-02-30T10:00:00",'
+        ELSE '"datetime":"' || replace({_TS_SEC}, ' ', 'T') || '",' END"""
+_DEPT = f"""CASE {_N} % 13
+        WHEN 0 THEN '"department_id":0,'
+        WHEN 1 THEN '"department_id":"0",'
+        WHEN 2 THEN '"department_id":" 2 ",'
+        WHEN 3 THEN '"department_id":1.7,'
+        WHEN 4 THEN '"department_id":"1.7",'
+        WHEN 5 THEN '"department_id":true,'
+        WHEN 6 THEN ''
+        WHEN 7 THEN '"department_id":[],'
+        WHEN 8 THEN '"department_id":[1],'
+        ELSE '"department_id":' || {_U} || ',' END"""
+_JOB = f"""CASE {_N} % 11
+        WHEN 0 THEN ''
+        WHEN 1 THEN '"job_id":-5,'
+        WHEN 2 THEN '"job_id":"abc",'
+        WHEN 3 THEN '"job_id":{{}},'
+        ELSE '"job_id":' || CAST(({_N} * 7919) % 2600 AS STRING) || ',' END"""
+_PAYLOAD = f"""CASE WHEN {_TABLE} IN ('departments', 'jobs')
+        THEN '{{' || {_DIM_ID} || {_NAME} || '"src":"ev"}}'
+        ELSE '{{' || {_FACT_ID} || {_NAME} || {_DATETIME} || {_DEPT} || {_JOB} || '"src":"ev"}}' END"""
+
+RAW_MESSAGES = {
+    "_offset": _N,
+    "batch_id": f"CAST(floor({_N} / 1000) AS BIGINT)",
+    "arrived": "ts",
+    "value": f"""CASE {_N} % 97
+        WHEN 3 THEN 'not json'
+        WHEN 4 THEN '{{"table":"jobs"}}'
+        WHEN 5 THEN '{{"table":"jobs","payload":[1,2]}}'
+        WHEN 6 THEN '{{"table":"jobs","payload":{{"id":1,"name":"Ab"}},"extra":1}}'
+        WHEN 7 THEN '{{"table":5,"payload":{{}}}}'
+        ELSE '{{"table":"' || {_TABLE} || '","payload":' || {_PAYLOAD} || '}}' END""",
+}
+
+# Validation clock: fixed, so runs and retries agree.
+AS_OF = "2025-01-01 00:00:00"
+
+
+def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derive(spark, sf_dir, "events", RAW_MESSAGES)
