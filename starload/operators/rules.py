@@ -109,6 +109,21 @@ def _exists_flag(df: DataFrame, keys: DataFrame, key_col: str, table: str, flag:
     return j.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
+def _stored_flag(df: DataFrame, targets: dict[str, DataFrame], key_col: str, table_col: str) -> DataFrame:
+    """One left join against the stored ids of every target table, keyed on (table, id)."""
+    parts = [
+        t.select(F.lit(name).alias("_tk"), F.col(t.columns[0]).cast("bigint").alias("_k"))
+        for name, t in targets.items()
+    ]
+    stored = parts[0]
+    for p in parts[1:]:
+        stored = stored.unionByName(p)
+    stored = stored.distinct().withColumn("_hit_stored", F.lit(True))
+    cond = (F.col(table_col) == F.col("_tk")) & (F.col(key_col) == F.col("_k"))
+    j = df.join(stored, cond, "left").drop("_tk", "_k")
+    return j.withColumn("_hit_stored", F.coalesce(F.col("_hit_stored"), F.lit(False)))
+
+
 def validate(
     records: DataFrame,
     *,
@@ -130,8 +145,10 @@ def validate(
     for s in spec_by_table.values():
         for r in s.refs:
             df = _exists_flag(df, dims[r.table], f"_int_{r.column}", s.name, f"_hit_{s.name}_{r.column}", table_col)
-        if s.name in targets:
-            df = _exists_flag(df, targets[s.name], f"_int_{s.key}", s.name, f"_hit_{s.name}_id", table_col)
+    if targets:
+        key_cols = {s.key for s in spec_by_table.values()}
+        assert len(key_cols) == 1, "one id column name across tables"
+        df = _stored_flag(df, targets, f"_int_{key_cols.pop()}", table_col)
     t = F.col(table_col)
     as_of_lit = _ts_literal(as_of)
 
@@ -167,7 +184,7 @@ def validate(
         idi = F.col(f"_int_{s.key}")
         present = idv.isNotNull() & (F.col(f"_t_{s.key}") != "VOID")
         out_of_range = (idi <= 0) | (idi > s.id_max) if s.id_max is not None else (idi <= 0)
-        hit = F.col(f"_hit_{s.name}_id") if s.name in targets else F.lit(False)
+        hit = F.col("_hit_stored") if s.name in targets else F.lit(False)
         tail.append(
             F.when(present & idi.isNull(), F.lit("ID_INTEGER"))
             .when(present & out_of_range, F.lit("ID_RANGE" if s.id_max is not None else "ID_POSITIVE"))
@@ -207,13 +224,18 @@ def flag_in_batch_duplicates(
     order: str | tuple[str, ...] = "_offset",
 ) -> DataFrame:
     """Accepted records whose explicit id repeats an earlier accepted one of the same table and
-    batch → DUPLICATE_IN_BATCH (the load would otherwise fail on the key)."""
-    from starload.operators.cleaning import keep_first
+    batch → DUPLICATE_IN_BATCH (the load would otherwise fail on the key).
+
+    A batch holds at most ``MAX_RECORDS_PER_CALL`` records (the call contract, the flush size),
+    so a window over (batch, table, id) is bounded by the batch size.
+    """
+    from pyspark.sql import Window
 
+    orders = [order] if isinstance(order, str) else list(order)
     elig = F.col("error_type").isNull() & F.col("_payload_id").isNotNull()
-    flagged = keep_first(validated, [*batch_cols, table_col, "_payload_id"], order, eligible=elig)
-    dup = F.col("_dup")
-    return flagged.select(
+    w = Window.partitionBy(*batch_cols, table_col, "_payload_id", elig).orderBy(*orders)
+    dup = elig & (F.row_number().over(w) > 1)
+    return validated.select(
         *[c for c in validated.columns if c not in ("error_type", "error_codes", "error_message")],
         F.when(dup, F.lit(specs.DUPLICATE_IN_BATCH)).otherwise(F.col("error_type")).alias("error_type"),
         F.when(dup, F.array(F.lit("DUPLICATE"))).otherwise(F.col("error_codes")).alias("error_codes"),

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starload.operators.partitioning import spread
 from starload.plans.tables import table
 
 HIRES_POSITION = ("_pos", "_tie")
@@ -94,7 +95,8 @@ def select_sql(columns: dict[str, str], source: str) -> str:
 
 
 def _derive(spark: SparkSession, sf_dir: str, source: str, columns: dict[str, str]) -> DataFrame:
-    return table(spark, sf_dir, source).selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
+    derived = table(spark, sf_dir, source).selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
+    return spread(derived)
 
 
 def raw_hires(spark: SparkSession, sf_dir: str) -> DataFrame:
