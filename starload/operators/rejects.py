@@ -103,17 +103,18 @@ def latest(log: DataFrame, n: int = specs.LOG_LIMIT, ts: str = "timestamp", tie:
 
 def log_summary(log: DataFrame) -> DataFrame:
     """Totals per table, per error type, and overall in one pass (grouping sets)."""
-    return (
-        log.groupingSets([["table_name"], ["error_type"], []], "table_name", "error_type")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            F.when(F.grouping("table_name") == 0, F.lit("table"))
-            .when(F.grouping("error_type") == 0, F.lit("error_type"))
-            .otherwise(F.lit("total"))
-            .alias("level"),
-            F.coalesce(F.col("table_name"), F.col("error_type"), F.lit("")).alias("value"),
-            "n",
-        )
+    agg = log.groupingSets([["table_name"], ["error_type"], []], "table_name", "error_type").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.grouping("table_name").alias("_g_table"),
+        F.grouping("error_type").alias("_g_type"),
+    )
+    return agg.select(
+        F.when(F.col("_g_table") == 0, F.lit("table"))
+        .when(F.col("_g_type") == 0, F.lit("error_type"))
+        .otherwise(F.lit("total"))
+        .alias("level"),
+        F.coalesce(F.col("table_name"), F.col("error_type"), F.lit("")).alias("value"),
+        "n",
     )
 
 

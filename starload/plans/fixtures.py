@@ -197,3 +197,40 @@ AS_OF = "2025-01-01 00:00:00"
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(spark, sf_dir, "events", RAW_MESSAGES)
+
+
+# ---------------------------------------------------------------------------------------------
+# Audit log ← events: one entry per event with an event type, key name, address, agent, method.
+# ---------------------------------------------------------------------------------------------
+RAW_AUDIT = {
+    "event_id": "event_id",
+    "timestamp": "ts",
+    "event_type": """CASE event_id % 8
+        WHEN 0 THEN 'AUTH_SUCCESS'
+        WHEN 1 THEN 'AUTH_FAILED'
+        WHEN 2 THEN 'AUTH_MISSING'
+        WHEN 3 THEN 'AUTH_INVALID'
+        WHEN 4 THEN 'AUTH_EXPIRED'
+        WHEN 5 THEN 'RATE_LIMIT'
+        WHEN 6 THEN 'INVALID_INPUT'
+        ELSE 'UNAUTHORIZED_ACCESS' END""",
+    "api_key_name": "'key-' || CAST(user_id % 20 AS STRING)",
+    "ip_address": "'10.0.' || CAST(user_id % 256 AS STRING) || '.' || CAST(event_id % 256 AS STRING)",
+    "user_agent": """CASE event_id % 11
+        WHEN 0 THEN 'sqlmap/1.7'
+        WHEN 1 THEN 'curl/8.0.1'
+        WHEN 2 THEN 'python-requests/2.31'
+        WHEN 3 THEN 'Mozilla/5.0 (compatible; Googlebot/2.1)'
+        WHEN 4 THEN 'Wget/1.21'
+        WHEN 5 THEN 'NMAP Scripting Engine'
+        WHEN 6 THEN 'MyCrawler/0.1'
+        WHEN 7 THEN 'Nikto'
+        ELSE 'Mozilla/5.0 (X11; Linux x86_64) ' || event_type END""",
+    "endpoint": "'/api/' || event_type || '/'",
+    "method": "CASE WHEN event_id % 3 = 0 THEN 'GET' ELSE 'POST' END",
+    "details": "props",
+}
+
+
+def raw_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derive(spark, sf_dir, "events", RAW_AUDIT)
