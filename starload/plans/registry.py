@@ -34,6 +34,13 @@ def register(name: str, *, oracle: str | None, ids: tuple[str, ...] = ()) -> Cal
 
 def load_all() -> dict[str, Query]:
     """Import every plan module so that its queries register themselves."""
-    from starload.plans import cleaning_plans, load_plans, log_plans, metric_plans, rule_plans  # noqa: F401
+    from starload.plans import (  # noqa: F401
+        cleaning_plans,
+        load_plans,
+        log_plans,
+        metric_plans,
+        rule_plans,
+        source_plans,
+    )
 
     return QUERIES
