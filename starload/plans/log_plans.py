@@ -186,3 +186,39 @@ def sanitize_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.create_map(F.lit("html"), F.col("html")).alias("fields"),
     )
     return map_all_strings(nested, sanitize_text)
+
+
+BURST_LIMIT = 3
+BURST_TTL_SECONDS = 6 * 3600
+
+
+def _burst_oracle() -> str:
+    ttl_us = BURST_TTL_SECONDS * 1_000_000
+    return f"""
+WITH RECURSIVE e AS (
+  SELECT user_id, event_id, epoch_us(ts) AS t,
+         ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY epoch_us(ts), event_id) AS rn
+  FROM events
+),
+sim(user_id, rn, event_id, cnt, expires, flagged) AS (
+  SELECT user_id, rn, event_id, 1, t + {ttl_us}, false FROM e WHERE rn = 1
+  UNION ALL
+  SELECT e.user_id, e.rn, e.event_id,
+         CASE WHEN (CASE WHEN e.t >= s.expires THEN 0 ELSE s.cnt END) >= {BURST_LIMIT}
+              THEN s.cnt ELSE (CASE WHEN e.t >= s.expires THEN 0 ELSE s.cnt END) + 1 END,
+         CASE WHEN (CASE WHEN e.t >= s.expires THEN 0 ELSE s.cnt END) >= {BURST_LIMIT}
+              THEN s.expires ELSE e.t + {ttl_us} END,
+         (CASE WHEN e.t >= s.expires THEN 0 ELSE s.cnt END) >= {BURST_LIMIT}
+  FROM sim s JOIN e ON e.user_id = s.user_id AND e.rn = s.rn + 1
+)
+SELECT user_id, event_id, flagged FROM sim
+"""
+
+
+@register("burst_flags", oracle=_burst_oracle(), ids=("T8",))
+def burst_flags_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starload.operators.burst import burst_flags
+
+    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id")
+    out = burst_flags(events, key="user_id", ts="ts", tie="event_id", limit=BURST_LIMIT, ttl_seconds=BURST_TTL_SECONDS)
+    return out.select("user_id", "event_id", "flagged")
