@@ -16,9 +16,14 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Characters Python's ``str.strip()`` removes: every code point whose ``isspace()`` is true.
+PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x110000)) if ch.isspace())
+
+
 def strip_ws(c: ColumnOrName) -> Column:
-    """Trim Unicode whitespace at both ends (``trim`` removes only spaces)."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    """Trim whitespace at both ends as Python's ``str.strip()`` does (``trim`` removes only
+    spaces). A character-set trim, no regular expression."""
+    return F.btrim(_col(c), F.lit(PY_WHITESPACE))
 
 
 def null_if_token(c: ColumnOrName, tokens: tuple[str, ...] = specs.NULL_TOKENS) -> Column:

@@ -80,17 +80,18 @@ def annotate(
     position: str | list[str] | tuple[str, ...] = POSITION,
     strict_ts: bool = False,
 ) -> DataFrame:
-    """Typed columns plus ``_drop_step`` = first failing step before de-duplication.
+    """Typed columns plus ``_drop_step`` = first failing step before de-duplication, and
+    ``_raw`` (the input row as a struct of strings, for the reject log).
 
     ``raw`` holds the spec's columns as STRING plus the sortable ``position`` column(s). The work
     is staged in projections so each parsed value is computed once and referenced by name.
     """
     pos = _position_names(position)
-    # stage 1: exact null tokens (F1) and the raw record as JSON for the reject log
+    # stage 1: exact null tokens (F1); the raw text is kept for the reject log
     t = raw.select(
         *[null_if_token(c).alias(c) for c in spec.columns],
         *pos,
-        F.to_json(F.struct(*[F.col(c) for c in spec.columns]), {"ignoreNullFields": "false"}).alias("_raw"),
+        F.struct(*[F.col(c).alias(c) for c in spec.columns]).alias("_raw"),
     )
     # stage 2: trimmed and parsed values
     stage2 = [
@@ -167,6 +168,11 @@ def keep_first(
     return joined.withColumn("_dup", dup).drop("_first_pos", "_elig", "_p")
 
 
+def raw_json(c: str = "_raw") -> Column:
+    """The input row as JSON text (built only where a row is actually logged)."""
+    return F.to_json(F.col(c), {"ignoreNullFields": "false"})
+
+
 def clean(
     raw: DataFrame,
     spec: TableSpec,
@@ -174,34 +180,61 @@ def clean(
     position: str | list[str] | tuple[str, ...] = POSITION,
     strict_ts: bool = False,
 ) -> CleanResult:
-    """F1–F9 in one pass: kept rows (typed), dropped rows with the first failing step."""
+    """Kept rows (typed, first per key), dropped rows with their first failing step.
+
+    Kept rows come from one aggregate: per key, the row with the smallest position
+    (``min_by``; partial aggregation absorbs a hot key map-side). Dropped duplicates, needed only
+    for the reject log, are the eligible rows whose position is not their key's smallest.
+    """
     pos = _position_names(position)
     ann = annotate(raw, spec, position=pos, strict_ts=strict_ts)
-    ann = keep_first(ann, spec.key, pos, eligible=F.col("_drop_step").isNull())
-    ann = ann.withColumn(
-        "_drop_step", F.when(F.col("_dup"), F.lit("duplicate")).otherwise(F.col("_drop_step"))
-    ).drop("_dup")
-    kept = ann.where(F.col("_drop_step").isNull()).select(*spec.columns, *pos)
-    dropped = ann.where(F.col("_drop_step").isNotNull()).select(*pos, "_drop_step", "_raw")
+    eligible = ann.where(F.col("_drop_step").isNull())
+    keep_cols = [*spec.columns, *pos]
+    winners = eligible.groupBy(spec.key).agg(
+        F.min_by(F.struct(*[F.col(c) for c in keep_cols]), _position_col(pos)).alias("_w")
+    )
+    kept = winners.select(*[F.col(f"_w.{c}").alias(c) for c in keep_cols])
+    losers = eligible.join(
+        kept.select(spec.key, _position_col(pos).alias("_first")), spec.key, "left"
+    ).where(_position_col(pos) != F.col("_first"))
+    dropped = (
+        ann.where(F.col("_drop_step").isNotNull())
+        .select(*pos, "_drop_step", raw_json().alias("_raw"))
+        .unionByName(losers.select(*pos, F.lit("duplicate").alias("_drop_step"), raw_json().alias("_raw")))
+    )
     return CleanResult(ann, kept, dropped)
 
 
 def clean_stats(annotated: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows removed by each step, rows left after it, percent of the input removed."""
+    """Rows removed by each step, rows left after it, percent of the input removed.
+
+    One global aggregate over the annotated rows: a count per failing step, and duplicates as
+    eligible rows minus distinct eligible keys.
+    """
     steps = steps_for(spec)
-    counts = annotated.groupBy("_drop_step").agg(F.count(F.lit(1)).alias("removed"))
-    total = annotated.select(F.count(F.lit(1))).scalar()
-    all_steps = annotated.sparkSession.createDataFrame([(i + 1, s) for i, s in enumerate(steps)], "step_no int, step string")
-    # a literal list of the steps (a handful of rows) so steps that removed nothing still appear
-    out = all_steps.join(counts.withColumnRenamed("_drop_step", "step"), "step", "left").select(
-        "step_no", "step", F.coalesce("removed", F.lit(0)).cast("bigint").alias("removed")
+    step = F.col("_drop_step")
+    aggs = [F.count(F.lit(1)).alias("_total")]
+    for s in steps:
+        if s != "duplicate":
+            aggs.append(F.count_if(step == s).alias(f"_n_{s}"))
+    aggs.append(F.count_if(step.isNull()).alias("_eligible"))
+    aggs.append(F.count_distinct(F.when(step.isNull(), F.col(spec.key))).alias("_distinct"))
+    totals = annotated.agg(*aggs)
+    removed = [
+        (F.col("_eligible") - F.col("_distinct")) if s == "duplicate" else F.col(f"_n_{s}") for s in steps
+    ]
+    rows = F.explode(
+        F.array(*[F.struct(F.lit(i + 1).alias("step_no"), F.lit(s).alias("step"), r.cast("bigint").alias("removed"))
+                  for i, (s, r) in enumerate(zip(steps, removed, strict=True))])
     )
+    out = totals.select("_total", rows.alias("_r")).select("_total", "_r.*")
+    left = F.col("_total") - F.sum("removed").over(_cumulative())
     return out.select(
         "step_no",
         "step",
         "removed",
-        (total - F.sum("removed").over(_cumulative())).cast("bigint").alias("rows_left"),
-        F.when(total > 0, F.round(F.col("removed") * 100.0 / total, 2)).otherwise(F.lit(0.0)).alias("pct_removed"),
+        left.cast("bigint").alias("rows_left"),
+        F.when(F.col("_total") > 0, F.round(F.col("removed") * 100.0 / F.col("_total"), 2)).otherwise(F.lit(0.0)).alias("pct_removed"),
     )
 
 

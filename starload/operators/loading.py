@@ -4,10 +4,9 @@
   folders afterwards: the target is never read and overwritten by the same job, and a failed
   write leaves the old table in place.
 * Ids for rows without one continue after the largest stored id. Dense positions come from a
-  range-partitioned, sorted copy (checkpointed in the shared folder so both passes see the same
-  rows): per-partition counts (one row per partition) give each partition its base, and the row
-  number inside the partition comes from ``monotonically_increasing_id``. No single-partition
-  window over the data.
+  range-partitioned, sorted pass: per-partition counts (one row per partition) give each
+  partition its base, and the row number inside the partition comes from
+  ``monotonically_increasing_id``. No single-partition window over the data.
 * Referential integrity is set-based: left joins to the distinct dimension keys flag orphans;
   semi joins keep the facts that survive a dimension replace.
 """
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 
 from starload import specs
 from starload.operators.rules import as_int, as_text, field, vtype
-from starload.session import delete_path, path_exists, rename_path, shared_dir
+from starload.session import delete_path, path_exists, rename_path
 from starload.specs import TableSpec
 
 
@@ -51,22 +50,36 @@ def conform(records: DataFrame, spec: TableSpec = specs.HIRED_EMPLOYEES, payload
     return records.select(*[c for c in records.columns if c != payload], *cols)
 
 
-def positions(df: DataFrame, order: list[str] | tuple[str, ...], n_partitions: int | None = None) -> DataFrame:
-    """Adds ``_position``: 0-based rank of each row by ``order`` (which must be unique)."""
-    spark = df.sparkSession
-    shared_dir(spark)  # checkpoint folder: the cluster's shared folder, or a private one in tests
-    n = n_partitions or max(spark.sparkContext.defaultParallelism, 1)
-    cols = df.columns
+def _ranked(df: DataFrame, order: list[str] | tuple[str, ...], n_partitions: int | None) -> DataFrame:
+    n = n_partitions or max(df.sparkSession.sparkContext.defaultParallelism, 1)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    tagged = ranged.select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mono"))
-    tagged = tagged.checkpoint(eager=True)
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    return ranged.select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mono"))
+
+
+def _bases(counts: DataFrame) -> DataFrame:
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition: a size bounded by the partition count, so broadcasting it is safe
-    bases = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    out = tagged.join(F.broadcast(bases), "_pid")
-    row_in_part = F.col("_mono") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    return out.select(*cols, (F.col("_base") + row_in_part).alias("_position"))
+    # one row per partition: bounded by the partition count
+    return counts.select("*", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+
+
+def _row_in_partition() -> Column:
+    return F.col("_mono") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
+
+
+def positions(df: DataFrame, order: list[str] | tuple[str, ...], n_partitions: int | None = None) -> DataFrame:
+    """Adds ``_position``: 0-based rank of each row by ``order`` (which must be unique).
+
+    Rows are range-partitioned and sorted by ``order`` (an explicit partition count, which AQE
+    keeps). Per-partition counts give each partition its base; the row number inside a partition
+    comes from ``monotonically_increasing_id``. Both uses read the same range exchange, which
+    Spark reuses, so they see identical partitions; with a unique order the recomputation after a
+    lost executor is identical too.
+    """
+    cols = df.columns
+    tagged = _ranked(df, order, n_partitions)
+    bases = _bases(tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")))
+    out = tagged.join(F.broadcast(bases.select("_pid", "_base")), "_pid")
+    return out.select(*cols, (F.col("_base") + _row_in_partition()).alias("_position"))
 
 
 def assign_ids(
@@ -75,18 +88,30 @@ def assign_ids(
     order: list[str] | tuple[str, ...],
     stored_ids: DataFrame | None = None,
     id_col: str = "id",
+    n_partitions: int | None = None,
 ) -> DataFrame:
-    """L4: rows without an id get max(stored ids, explicit ids in the input) + 1, + 2, … in ``order``."""
-    highest = df.select(F.max(id_col).cast("bigint")).scalar()
+    """L4: rows without an id get max(stored ids, explicit ids in the input) + 1, + 2, … in ``order``.
+
+    One ranked pass: rows without an id sort first, so their rank is their place among them;
+    the per-partition summary that gives the bases also carries each partition's largest id.
+    """
+    cols = df.columns
+    keyed = df.select("*", F.col(id_col).isNotNull().alias("_has_id"))
+    tagged = _ranked(keyed, ["_has_id", *order], n_partitions)
+    summary = tagged.groupBy("_pid").agg(
+        F.count(F.lit(1)).alias("_n"), F.max(F.col(id_col).cast("bigint")).alias("_max_id")
+    )
+    bases = _bases(summary).select(
+        "_pid", "_base", F.max("_max_id").over(Window.partitionBy()).alias("_highest")
+    )
+    out = tagged.join(F.broadcast(bases), "_pid")
+    highest = F.col("_highest")
     if stored_ids is not None:
         highest = F.greatest(highest, stored_ids.select(F.max(stored_ids.columns[0]).cast("bigint")).scalar())
-    base = F.coalesce(highest, F.lit(0))
-    missing = positions(df.where(F.col(id_col).isNull()), order)
-    filled = missing.select(
-        *[c for c in df.columns if c != id_col],
-        (base + F.col("_position") + 1).alias(id_col),
+    new_id = F.coalesce(highest, F.lit(0)) + F.col("_base") + _row_in_partition() + 1
+    return out.select(
+        *[F.coalesce(F.col(id_col).cast("bigint"), new_id).alias(id_col) if c == id_col else F.col(c) for c in cols]
     )
-    return df.where(F.col(id_col).isNotNull()).unionByName(filled.select(*df.columns))
 
 
 def assign_batches(df: DataFrame, *, order: list[str] | tuple[str, ...], batch_size: int = specs.LOAD_BATCH_SIZE) -> DataFrame:

@@ -1,3 +1,4 @@
+import json
 from pathlib import Path
 
 from starload import specs
@@ -51,9 +52,9 @@ def test_cleaning_golden_rows(spark, workdir):
     assert str(kept[1].datetime) == "2021-11-07 02:48:42"
     steps = {}
     for r in res.annotated.where("_drop_step is not null").collect():
-        import json
-
-        steps.setdefault(json.loads(r["_raw"])["id"], set()).add(r["_drop_step"])
+        steps.setdefault(r["_raw"]["id"], set()).add(r["_drop_step"])
+    for r in res.dropped.where("_drop_step = 'duplicate'").collect():
+        steps.setdefault(json.loads(r["_raw"])["id"], set()).add("duplicate")
     for rid, step in EXPECTED_STEP.items():
         assert step in steps[rid], (rid, steps.get(rid))
     assert "duplicate" in steps["15"] and "timestamp" in steps["14"]
