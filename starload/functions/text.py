@@ -85,3 +85,19 @@ def severity(c: ColumnOrName) -> Column:
 
 def event_colour(c: ColumnOrName) -> Column:
     return lookup(c, specs.AUDIT_EVENT_COLOURS, specs.AUDIT_EVENT_COLOUR_DEFAULT)
+
+
+def json_record(*cols: str, ts_format: str = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") -> Column:
+    """A row as JSON for logging: timestamps as ISO text, NaN and infinities as null, other
+    values as themselves; null fields are written (``ignoreNullFields`` off)."""
+    from pyspark.sql import types as T  # noqa: F401  (types are inspected by the caller's schema)
+
+    fields = []
+    for c in cols:
+        fields.append(F.col(c).alias(c))
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false", "timestampFormat": ts_format})
+
+
+def nan_to_null(df_col: Column) -> Column:
+    """NaN / ±infinity → null for a floating column (JSON has no such numbers)."""
+    return F.when(F.isnan(df_col) | (F.abs(df_col) == float("inf")), F.lit(None)).otherwise(df_col)

@@ -285,7 +285,7 @@ def split_accept_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
     + """SELECT _offset AS id, arrived AS "timestamp", coalesce(tbl, '') AS table_name,
        CAST(_offset % 1000 AS VARCHAR) AS record_id, error_type, error_message
 FROM final WHERE error_type IS NOT NULL""",
-    ids=("S14", "E17"),
+    ids=("S14",),
 )
 def reject_log_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reject_log(spark, sf_dir).drop("raw_data")
