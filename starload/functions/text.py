@@ -90,12 +90,9 @@ def event_colour(c: ColumnOrName) -> Column:
 def json_record(*cols: str, ts_format: str = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") -> Column:
     """A row as JSON for logging: timestamps as ISO text, NaN and infinities as null, other
     values as themselves; null fields are written (``ignoreNullFields`` off)."""
-    from pyspark.sql import types as T  # noqa: F401  (types are inspected by the caller's schema)
-
-    fields = []
-    for c in cols:
-        fields.append(F.col(c).alias(c))
-    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false", "timestampFormat": ts_format})
+    fields = [F.col(c).alias(c) for c in cols]
+    options = {"ignoreNullFields": "false", "timestampFormat": ts_format, "timestampNTZFormat": ts_format}
+    return F.to_json(F.struct(*fields), options)
 
 
 def nan_to_null(df_col: Column) -> Column:
