@@ -50,7 +50,7 @@ def _scan(limit: int, ttl_us: int):
     return run
 
 
-def burst_flags(
+def burst_flags_scan(
     events: DataFrame,
     *,
     key: str,
@@ -59,7 +59,11 @@ def burst_flags(
     limit: int = specs.RATE_LIMIT_CALLS,
     ttl_seconds: int = specs.RATE_LIMIT_TTL_SECONDS,
 ) -> DataFrame:
-    """Every event with ``flagged`` (refused by the rule) and its ``burst`` number within the key."""
+    """Every event with ``flagged`` and its ``burst`` number within the key.
+
+    Compact form for inputs whose keys and bursts are known to be moderate: bursts come from a
+    window per key and each burst is scanned in one pass. ``burst_flags`` is the general form.
+    """
     ttl_us = int(ttl_seconds) * 1_000_000
     t_us = F.unix_micros(F.col(ts).cast("timestamp"))
     base = events.select(F.col(key).alias("_key"), t_us.alias("_t"), F.col(tie).alias("_tie"))
@@ -74,3 +78,95 @@ def burst_flags(
     return flags.select(
         F.col("_key").alias(key), F.col("_tie").alias(tie), F.col("_burst").alias("burst"), "flagged"
     )
+
+
+BIG = (1 << 62)
+
+
+def burst_flags(
+    events: DataFrame,
+    *,
+    key: str,
+    ts: str,
+    tie: str,
+    limit: int = specs.RATE_LIMIT_CALLS,
+    ttl_seconds: int = specs.RATE_LIMIT_TTL_SECONDS,
+) -> DataFrame:
+    """Every event with ``flagged`` (refused by the rule); exact, and no key is ever held by one task.
+
+    All calls get a dense global rank ``g`` by (key, time, tie) from range partitioning. Then:
+
+    1. *Resets*: a call that starts a key, or comes ttl or more after the previous call, always
+       finds the counter expired. The ranks of the resets split the order into segments, and
+       ``R(i)`` is the start of the next segment.
+    2. *Next epoch*: if an epoch (counter from zero) starts at call i, the next one starts at
+       ``n(i) = min(R(i), first call at or after t[i+limit-1] + ttl)``. The search is a ranking of
+       the calls merged with one search point per i (search points placed before equal times).
+    3. *Epoch starts*: the resets, then n(reset), n(n(reset)), … Pointer doubling marks them in
+       log2(longest segment, in epochs) rounds of joins on ``g``, checkpointed in between.
+    4. A call is flagged when it is ``limit`` or more calls after its epoch start (a running
+       maximum of the starts, computed in fixed-size blocks).
+
+    Every join is on unique ranks, so a key holding a third of all rows is spread like any other.
+    """
+    from starload.operators.loading import positions
+    from starload.operators.sequence import prefix
+    from starload.session import shared_dir
+
+    spark = events.sparkSession
+    shared_dir(spark)
+    lim = int(limit)
+    ttl_us = int(ttl_seconds) * 1_000_000
+    t_us = F.unix_micros(F.col(ts).cast("timestamp"))
+    rows = events.select(F.col(key).alias("_key"), t_us.alias("_t"), F.col(tie).alias("_tie"))
+    ranked = positions(rows, ["_key", "_t", "_tie"]).withColumnRenamed("_position", "_g").checkpoint()
+
+    # 1. resets and the start of the next segment
+    prev = ranked.select((F.col("_g") + 1).alias("_g"), F.col("_key").alias("_pk"), F.col("_t").alias("_pt"))
+    r = ranked.join(prev, "_g", "left")
+    is_reset = F.col("_pk").isNull() | (F.col("_pk") != F.col("_key")) | ((F.col("_t") - F.col("_pt")) >= ttl_us)
+    r = r.select("_g", "_key", "_t", "_tie", is_reset.alias("_reset"))
+    r = prefix(r, position="_g", value=F.col("_reset").cast("long"), out="_seg")
+    next_start = r.where("_reset").select((F.col("_seg") - 1).alias("_seg"), F.col("_g").alias("_R"))
+    r = r.join(next_start, "_seg", "left").withColumn("_R", F.coalesce("_R", F.lit(BIG)))
+
+    # 2. the limit-th call of an epoch starting here, and the search for the next epoch
+    jrow = ranked.select((F.col("_g") - (lim - 1)).alias("_g"), F.col("_key").alias("_jk"), F.col("_t").alias("_jt"))
+    r = r.join(jrow, "_g", "left")
+    has_q = F.col("_jk").isNotNull() & (F.col("_jk") == F.col("_key"))
+    queries = r.where(has_q).select("_key", (F.col("_jt") + ttl_us).alias("_t"), F.lit(0).alias("_kind"), F.col("_g").alias("_id"))
+    calls = ranked.select("_key", "_t", F.lit(1).alias("_kind"), F.col("_g").alias("_id"))
+    merged = positions(queries.unionByName(calls), ["_key", "_t", "_kind", "_id"])
+    merged = prefix(merged, position="_position", value=(F.col("_kind") == 0).cast("long"), out="_qb", inclusive=False)
+    found = merged.where(F.col("_kind") == 0).select(
+        F.col("_id").alias("_g"), (F.col("_position") - F.col("_qb")).alias("_S")
+    )
+    r = r.join(found, "_g", "left")
+    nodes = r.select(
+        "_g", "_key", "_tie", "_reset", "_R",
+        F.least(F.col("_R"), F.coalesce(F.col("_S"), F.lit(BIG))).alias("_j"),
+    ).checkpoint()
+
+    # 3. pointer doubling: levels[k](i) = start of the epoch 2^k epochs after one starting at i
+    level = nodes.select("_g", "_R", "_j")
+    levels = [level]
+    while level.where(F.col("_j") < F.col("_R")).limit(1).count() > 0:
+        hop = level.select(F.col("_g").alias("_j"), F.col("_j").alias("_jj"))
+        nxt = level.join(hop, "_j", "left").select(
+            "_g", "_R",
+            F.when(F.col("_j") < F.col("_R"), F.least(F.coalesce("_jj", F.col("_R")), F.col("_R")))
+            .otherwise(F.col("_R")).alias("_j"),
+        )
+        level = nxt.checkpoint()
+        levels.append(level)
+    reach = nodes.where("_reset").select("_g", "_R")
+    for lvl in levels:
+        step = reach.join(lvl.select("_g", "_j"), "_g").where(F.col("_j") < F.col("_R"))
+        reach = reach.unionByName(step.select(F.col("_j").alias("_g"), "_R")).checkpoint()
+
+    # 4. epoch start of every call, and the flag
+    marked = nodes.join(reach.select("_g", F.lit(True).alias("_start")), "_g", "left")
+    marked = prefix(marked, position="_g", value=F.when(F.col("_start"), F.col("_g")), out="_e", how="max")
+    return marked.select(
+        F.col("_key").alias(key), F.col("_tie").alias(tie), ((F.col("_g") - F.col("_e")) >= lim).alias("flagged")
+    )

@@ -94,9 +94,12 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: IngestConfig) -> None:
                 rows = loading.assign_ids(rows, order=["_offset"], stored_ids=targets[name])
             out = rows.select(*spec.columns)
             out.write.mode("overwrite").parquet(f"{cfg.stream_dir}/{name}/batch_id={batch_id}")
+        # log ids: batch number, then the message's rank in the batch (range-partitioned ranking,
+        # no single-task window, whatever the size of the micro-batch)
+        ranked = loading.positions(checked, ["_offset"])
         rej = rejects.reject_rows(
-            checked,
-            log_id=F.lit(batch_id) * F.lit(1_000_000) + F.row_number().over(_by_offset()),
+            ranked,
+            log_id=F.lit(batch_id).cast("bigint") * F.lit(1 << 32) + F.col("_position"),
             timestamp=F.col("arrived"),
             record_id=F.to_json(F.col("_offset")),
         )
@@ -115,13 +118,6 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: IngestConfig) -> None:
         msgs.unpersist()
 
 
-def _by_offset():
-    from pyspark.sql import Window
-
-    # a micro-batch is capped by the trigger (maxOffsetsPerTrigger / maxFilesPerTrigger)
-    return Window.orderBy("_offset")
-
-
 def start(messages: DataFrame, cfg: IngestConfig, *, available_now: bool = False, seconds: int = specs.FLUSH_SECONDS) -> StreamingQuery:
     writer = messages.writeStream.option("checkpointLocation", cfg.checkpoint).foreachBatch(
         lambda df, bid: process_batch(df, bid, cfg)

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from starload.operators.burst import burst_flags
+from starload.operators.burst import burst_flags, burst_flags_scan
 
 
 def test_burst_golden(spark):
@@ -20,3 +20,18 @@ def test_burst_keys_independent(spark):
     ev = spark.createDataFrame(rows, "user_id long, event_id long, ts timestamp_ntz")
     out = burst_flags(ev, key="user_id", ts="ts", tie="event_id", limit=3, ttl_seconds=60)
     assert sorted(r.event_id for r in out.where("flagged").collect()) == [103, 104, 203, 204]
+
+
+def test_parallel_equals_scan_with_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    # one key holds most calls, dense enough that it never pauses for ttl
+    ev = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 11).alias("user_id"),
+        F.col("id").alias("event_id"),
+        (F.lit(1_700_000_000) + F.col("id") * 7 + (F.col("id") % 5)).cast("timestamp").cast("timestamp_ntz").alias("ts"),
+    )
+    a = burst_flags(ev, key="user_id", ts="ts", tie="event_id", limit=5, ttl_seconds=120)
+    b = burst_flags_scan(ev, key="user_id", ts="ts", tie="event_id", limit=5, ttl_seconds=120).select("user_id", "event_id", "flagged")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert a.where("flagged").count() > 0
