@@ -48,8 +48,12 @@ def shared_dir(spark: SparkSession) -> str:
         conf_dir = conf_dir.get() if conf_dir.isDefined() else None
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="starload-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-    spark.sparkContext.setCheckpointDir(conf_dir)
+        try:
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+        except Exception:  # noqa: BLE001 - some sessions refuse core settings at runtime
+            pass
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(conf_dir)
     return conf_dir.rstrip("/")
 
 
