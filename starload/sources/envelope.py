@@ -49,3 +49,18 @@ def to_envelope(records: DataFrame, table: str, key: str = "id", topic_prefix: s
         F.to_json(F.struct(F.lit(table).alias("table"), payload.alias("payload"))).alias("value"),
         F.lit(topic_prefix + table).alias("topic"),
     )
+
+
+def write_queue(envelopes: DataFrame, servers: str, *, linger_ms: int = 10, batch_messages: int = 1000) -> None:
+    """Publish ``key``, ``value``, ``topic`` rows to Kafka (needs the Kafka connector jar).
+
+    Producer batching as in the original: a short linger and batches of up to 1000 messages.
+    """
+    (
+        envelopes.select("key", "value", "topic")
+        .write.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("kafka.linger.ms", linger_ms)
+        .option("kafka.batch.size", batch_messages * 1024)
+        .save()
+    )
