@@ -29,7 +29,7 @@ def check_messages(
     *,
     dims: dict[str, DataFrame],
     targets: dict[str, DataFrame],
-    as_of: dt.datetime | str,
+    as_of: dt.datetime | str | Column,
     value: str = "value",
     order: str | tuple[str, ...] = "_offset",
     batch_cols: tuple[str, ...] = ("batch_id",),

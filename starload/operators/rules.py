@@ -65,7 +65,9 @@ def as_int(v: Column) -> Column:
     return F.try_variant_get(v, "$", "bigint")
 
 
-def _ts_literal(as_of: dt.datetime | str) -> Column:
+def _ts_literal(as_of: dt.datetime | str | Column) -> Column:
+    if isinstance(as_of, Column):
+        return as_of.cast("timestamp_ntz")
     text = as_of if isinstance(as_of, str) else as_of.strftime("%Y-%m-%d %H:%M:%S")
     return F.lit(text).cast("timestamp_ntz")
 
@@ -129,7 +131,7 @@ def validate(
     *,
     dims: dict[str, DataFrame],
     targets: dict[str, DataFrame],
-    as_of: dt.datetime | str,
+    as_of: dt.datetime | str | Column,
     table_col: str = "table",
     payload: str = "payload",
     spec_by_table: dict[str, TableSpec] | None = None,

@@ -74,20 +74,20 @@ _FACT_COLS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdat
 
 def _fact_and_refs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
     fact = table(spark, sf_dir, "lineitem").select(*_FACT_COLS)
-    # dimension replace: every tenth supplier and every seventh part are gone
-    suppliers = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 10 != 0).select("s_suppkey")
-    parts = table(spark, sf_dir, "part").where(F.col("p_partkey") % 7 != 0).select("p_partkey")
+    # dimension replace: suppliers in debt and the largest parts are gone from the new versions
+    suppliers = table(spark, sf_dir, "supplier").where(F.col("s_acctbal") >= 0).select("s_suppkey")
+    parts = table(spark, sf_dir, "part").where(F.col("p_size") <= 45).select("p_partkey")
     return fact, {"l_suppkey": suppliers, "l_partkey": parts}
 
 
 @register(
     "orphan_facts",
     oracle="""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
-       CASE WHEN l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 10 <> 0) THEN 'l_suppkey'
+       CASE WHEN l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0) THEN 'l_suppkey'
             ELSE 'l_partkey' END AS orphan_column
 FROM lineitem
-WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 10 <> 0)
-   OR l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 7 <> 0)""",
+WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0)
+   OR l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 45)""",
     ids=("L7", "J4"),
 )
 def orphan_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,8 +98,8 @@ def orphan_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "cascade_keep",
     oracle="""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem
-WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 10 <> 0)
-  AND l_partkey IN (SELECT p_partkey FROM part WHERE p_partkey % 7 <> 0)""",
+WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0)
+  AND l_partkey IN (SELECT p_partkey FROM part WHERE p_size <= 45)""",
     ids=("L7",),
 )
 def cascade_keep(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,14 +72,16 @@ def backup_restore_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "latest_backup",
-    oracle="SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey % 2 = 0",
+    oracle="SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal >= 5000",
     ids=("S9",),
 )
 def latest_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    sup = table(spark, sf_dir, "supplier")
     backups = scratch_path(spark, "backups")
-    backup.take_snapshot(sup, backups, "departments", as_of=dt.datetime(2024, 1, 1, 0, 0, 0))
-    backup.take_snapshot(sup.where(F.col("s_suppkey") % 2 == 0), backups, "departments", as_of=dt.datetime(2024, 2, 1, 0, 0, 0))
+    # two snapshots of the table: all suppliers, then (a month later) those with a large balance
+    backup.take_snapshot(sup.select("s_suppkey", "s_name"), backups, "departments", as_of=dt.datetime(2024, 1, 1, 0, 0, 0))
+    later = sup.where(F.col("s_acctbal") >= 5000).select("s_suppkey", "s_name")
+    backup.take_snapshot(later, backups, "departments", as_of=dt.datetime(2024, 2, 1, 0, 0, 0))
     return backup.latest_rows(spark, backups, "departments").drop("ts")
 
 
