@@ -64,8 +64,10 @@ d AS (
 )
 """
 
-DIM_STEPS_SQL = f"""
-WITH raw AS ({fixtures.select_sql(fixtures.RAW_DEPARTMENTS, "supplier")}),
+def dim_steps_sql(columns: dict[str, str], source: str) -> str:
+    """Independent DuckDB form of the dimension cleaner over a fixture."""
+    return f"""
+WITH raw AS ({fixtures.select_sql(columns, source)}),
 t AS (
   SELECT _pos,
          CASE WHEN id IN ({_TOKENS}) THEN NULL ELSE id END AS id,
@@ -95,6 +97,9 @@ d AS (
 """
 
 
+DIM_STEPS_SQL = dim_steps_sql(fixtures.RAW_DEPARTMENTS, "supplier")
+
+
 def _hires(spark: SparkSession, sf_dir: str) -> cleaning.CleanResult:
     return cleaning.clean(fixtures.raw_hires(spark, sf_dir), specs.HIRED_EMPLOYEES, position=fixtures.HIRES_POSITION)
 

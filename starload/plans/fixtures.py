@@ -88,6 +88,14 @@ RAW_DEPARTMENTS = {
 }
 
 
+# jobs ← part: one row per part, names repeat (brands)
+RAW_JOBS = {
+    "_pos": "p_partkey",
+    "id": "CAST(p_partkey AS STRING)",
+    "name": "p_brand",
+}
+
+
 def select_sql(columns: dict[str, str], source: str) -> str:
     """The fixture as a SQL SELECT (DuckDB side)."""
     body = ",\n       ".join(f"{expr} AS {name}" for name, expr in columns.items())
@@ -107,6 +115,10 @@ def raw_departments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(spark, sf_dir, "supplier", RAW_DEPARTMENTS)
 
 
+def raw_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derive(spark, sf_dir, "part", RAW_JOBS)
+
+
 # ---------------------------------------------------------------------------------------------
 # Message stream ← events: one envelope per event, in event_id order, 1000 messages per batch.
 # The payload varies with event_id so that every rule fires; ids and keys come from the data.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starload import specs
 from starload.operators import loading
 from starload.plans import fixtures
-from starload.plans.cleaning_plans import HIRES_STEPS_SQL, _hires
+from starload.plans.cleaning_plans import HIRES_STEPS_SQL, _hires, dim_steps_sql
 from starload.plans.registry import register
 from starload.plans.rule_plans import CHECKED_SQL, checked_messages
 from starload.plans.tables import table
@@ -107,18 +107,31 @@ def cascade_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loading.cascade_keep(fact, refs)
 
 
-RAW_JOBS = {
-    "_pos": "p_partkey",
-    "id": "CAST(p_partkey AS STRING)",
-    "name": "p_brand",
-}
+_FULL_LOAD_SQL = f"""
+WITH dep AS ({dim_steps_sql(fixtures.RAW_DEPARTMENTS, "supplier")} SELECT id_int, final_step FROM d),
+job AS ({dim_steps_sql(fixtures.RAW_JOBS, "part")} SELECT id_int, final_step FROM d),
+hires AS ({HIRES_STEPS_SQL} SELECT d_int, j_int, final_step FROM d),
+kept AS (
+  SELECT final_step IS NULL
+         AND d_int IN (SELECT id_int FROM dep WHERE final_step IS NULL)
+         AND j_int IN (SELECT id_int FROM job WHERE final_step IS NULL) AS loaded
+  FROM hires
+)
+SELECT 'departments' AS "table", 'success' AS status,
+       COUNT(*) FILTER (WHERE final_step IS NULL) AS rows_loaded,
+       COUNT(*) FILTER (WHERE final_step IS NOT NULL) AS rows_rejected FROM dep
+UNION ALL
+SELECT 'jobs', 'success', COUNT(*) FILTER (WHERE final_step IS NULL), COUNT(*) FILTER (WHERE final_step IS NOT NULL) FROM job
+UNION ALL
+SELECT 'hired_employees', 'success', COUNT(*) FILTER (WHERE loaded), COUNT(*) FILTER (WHERE NOT loaded) FROM kept
+"""
 
 
-@register("full_load", oracle=None, ids=("L1", "L5", "L6", "S11"))
+@register("full_load", oracle=_FULL_LOAD_SQL, ids=("L1", "L5", "L6", "S11"))
 def full_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = {
         "departments": fixtures.raw_departments(spark, sf_dir),
-        "jobs": fixtures._derive(spark, sf_dir, "part", RAW_JOBS),
+        "jobs": fixtures.raw_jobs(spark, sf_dir),
         "hired_employees": fixtures.raw_hires(spark, sf_dir),
     }
     target = scratch_path(spark, "full-load")

@@ -128,6 +128,19 @@ def left_join_on_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("s_suppkey", "s_name", "l_orderkey", "l_linenumber", "l_shipdate")
 
 
-@register("metric_envelope", oracle=None, ids=("S15", "A12"))
+_ENVELOPE_SQL = (
+    "WITH r AS ("
+    + _ABOVE_SQL.format(year_filter=f"AND EXTRACT(YEAR FROM l.l_shipdate) = {YEAR}").replace(
+        "ORDER BY ys.year DESC, ys.hired DESC", ""
+    )
+    + f""")
+SELECT '{YEAR}' AS filtered_year,
+       to_json({{'year': year, 'id': id, 'department': department, 'hired': hired, 'avg_hires': avg_hires}}) AS data,
+       (SELECT COUNT(*) FROM r) AS total_records
+FROM r"""
+)
+
+
+@register("metric_envelope", oracle=_ENVELOPE_SQL, ids=("S15", "A12"))
 def metric_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.metric_envelope(_above(spark, sf_dir, YEAR), filtered_year=YEAR)
