@@ -50,8 +50,15 @@ def conform(records: DataFrame, spec: TableSpec = specs.HIRED_EMPLOYEES, payload
     return records.select(*[c for c in records.columns if c != payload], *cols)
 
 
+def rank_partitions(spark: SparkSession) -> int:
+    """Partitions for a ranking pass: the session's shuffle sizing (which a large job raises to
+    keep partitions small), never fewer than the cores. An explicit count, so AQE keeps it."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(spark.sparkContext.defaultParallelism, shuffle, 1)
+
+
 def _ranked(df: DataFrame, order: list[str] | tuple[str, ...], n_partitions: int | None) -> DataFrame:
-    n = n_partitions or max(df.sparkSession.sparkContext.defaultParallelism, 1)
+    n = n_partitions or rank_partitions(df.sparkSession)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     return ranged.select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mono"))
 

@@ -36,7 +36,10 @@ def _landed_csv(spark: SparkSession, sf_dir: str) -> str:
 @register("csv_scan", oracle=f"SELECT {_RAW_COLS} FROM ({_RAW_SQL})", ids=("S1", "S2", "S5", "S6"))
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _landed_csv(spark, sf_dir)
-    return csv.read_raw(spark, root, specs.HIRED_EMPLOYEES, glob="*/*.csv").select(*specs.HIRED_EMPLOYEES.columns)
+    raw = csv.read_raw(spark, root, specs.HIRED_EMPLOYEES, glob="*/*.csv")
+    # the raw zone keeps the untyped rows with their source position
+    landed = csv.land_raw(raw, scratch_path(spark, "raw-zone"), "hired_employees")
+    return spark.read.parquet(landed).select(*specs.HIRED_EMPLOYEES.columns)
 
 
 @register(
