@@ -5,8 +5,9 @@ rows annotates each with the *first* step it fails (``_drop_step``, null when ke
 dropped rows with their reason, and per-step statistics all come from the same annotated frame.
 
 Keep-first de-duplication uses a source position (file, block, row) taken directly above the
-scan. The earliest position per key comes from an aggregate (partial aggregation absorbs a hot
-key map-side) joined back to the rows; AQE splits a skewed key on the row side of that join.
+scan. The winner per key is an aggregate (``min_by`` on the position; partial aggregation absorbs
+a hot key map-side); the losers, needed only for the reject log, come from a join that AQE
+splits when a key is skewed.
 """
 
 from __future__ import annotations
@@ -147,27 +148,6 @@ def compute_once(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
 
 
-def keep_first(
-    df: DataFrame,
-    key: str | list[str],
-    position: str | list[str] | tuple[str, ...] = POSITION,
-    *,
-    eligible: Column | None = None,
-) -> DataFrame:
-    """Flag ``_dup`` = a row with the same key and a smaller position exists (among eligible rows).
-
-    The earliest position per key is an aggregate (partial aggregation before the shuffle), joined
-    back on the key; a key held by a third of the rows is split by AQE's skew-join handling.
-    """
-    keys = [key] if isinstance(key, str) else list(key)
-    elig = F.lit(True) if eligible is None else eligible
-    base = df.withColumn("_elig", F.coalesce(elig, F.lit(False))).withColumn("_p", _position_col(position))
-    firsts = base.where("_elig").groupBy(*keys).agg(F.min("_p").alias("_first_pos"))
-    joined = base.join(firsts, keys, "left")
-    dup = F.col("_elig") & (F.col("_p") != F.col("_first_pos"))
-    return joined.withColumn("_dup", dup).drop("_first_pos", "_elig", "_p")
-
-
 def raw_json(c: str = "_raw") -> Column:
     """The input row as JSON text (built only where a row is actually logged)."""
     return F.to_json(F.col(c), {"ignoreNullFields": "false"})

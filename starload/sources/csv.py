@@ -3,8 +3,6 @@ whole tokens, structure checks, profiles, and the raw zone."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -121,13 +119,6 @@ def _with_position(schema: T.StructType) -> T.StructType:
     )
 
 
-@dataclass(frozen=True)
-class Structure:
-    ok: bool
-    missing: list[str]
-    extra: list[str]
-
-
 def structure_check(spark: SparkSession, path: str, expected: tuple[str, ...]) -> DataFrame:
     """S3: columns named by the header; missing ones fail, extra ones only warn."""
     rows = []
