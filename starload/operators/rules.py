@@ -40,9 +40,12 @@ def vtype(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
-def is_falsy(v: Column) -> Column:
-    """Missing, JSON null, blank string, zero, false, empty array or empty object."""
-    t = vtype(v)
+def is_falsy(v: Column, t: Column | None = None) -> Column:
+    """Missing, JSON null, blank string, zero, false, empty array or empty object.
+
+    ``t`` is the value's ``schema_of_variant`` when already computed.
+    """
+    t = vtype(v) if t is None else t
     numeric = t.isin(*NUMERIC_TYPES) | t.startswith("DECIMAL")
     return (
         v.isNull()
@@ -83,24 +86,22 @@ def extract(records: DataFrame, spec_by_table: dict[str, TableSpec] | None = Non
     fields = sorted({f for s in spec_by_table.values() for f in (*s.required, s.name_column, s.key)}
                     | {r.column for s in spec_by_table.values() for r in s.refs}
                     | {s.ts_column for s in spec_by_table.values() if s.ts_column})
-    cols = []
-    for f in fields:
-        cols.append(field(p, f).alias(f"_v_{f}"))
-    step1 = records.select("*", *cols)
-    out = [F.col(c) for c in step1.columns]
+    step1 = records.select("*", *[field(p, f).alias(f"_v_{f}") for f in fields])
+    step2 = step1.select("*", *[vtype(F.col(f"_v_{f}")).alias(f"_t_{f}") for f in fields])
+    out = [F.col(c) for c in step2.columns]
     for f in fields:
-        v = F.col(f"_v_{f}")
-        out.append(is_falsy(v).alias(f"_falsy_{f}"))
-        out.append(vtype(v).alias(f"_t_{f}"))
+        out.append(is_falsy(F.col(f"_v_{f}"), F.col(f"_t_{f}")).alias(f"_falsy_{f}"))
     names = {s.name_column for s in spec_by_table.values()}
     for f in names:
-        out.append(strip_ws(as_text(F.col(f"_v_{f}"))).alias(f"_txt_{f}"))
+        v, t = F.col(f"_v_{f}"), F.col(f"_t_{f}")
+        text = F.when(t == "STRING", F.try_variant_get(v, "$", "string")).otherwise(F.to_json(v))
+        out.append(strip_ws(text).alias(f"_txt_{f}"))
     ints = {r.column for s in spec_by_table.values() for r in s.refs} | {s.key for s in spec_by_table.values()}
     for f in ints:
         out.append(as_int(F.col(f"_v_{f}")).alias(f"_int_{f}"))
     for f in {s.ts_column for s in spec_by_table.values() if s.ts_column}:
         out.append(strict_timestamp(F.try_variant_get(F.col(f"_v_{f}"), "$", "string")).alias(f"_ts_{f}"))
-    return step1.select(*out)
+    return step2.select(*out)
 
 
 def _exists_flag(df: DataFrame, keys: DataFrame, key_col: str, table: str, flag: str, table_col: str) -> DataFrame:
