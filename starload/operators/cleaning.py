@@ -12,6 +12,7 @@ splits when a key is skewed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -159,15 +160,21 @@ def clean(
     *,
     position: str | list[str] | tuple[str, ...] = POSITION,
     strict_ts: bool = False,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> CleanResult:
     """Kept rows (typed, first per key), dropped rows with their first failing step.
 
     Kept rows come from one aggregate: per key, the row with the smallest position
     (``min_by``; partial aggregation absorbs a hot key map-side). Dropped duplicates, needed only
     for the reject log, are the eligible rows whose position is not their key's smallest.
+
+    ``stage`` (e.g. write to the shared folder and read back) materialises the annotated rows
+    once when kept and dropped rows are both consumed, so the parse chain runs once.
     """
     pos = _position_names(position)
     ann = annotate(raw, spec, position=pos, strict_ts=strict_ts)
+    if stage is not None:
+        ann = stage(ann)
     eligible = ann.where(F.col("_drop_step").isNull())
     keep_cols = [*spec.columns, *pos]
     winners = eligible.groupBy(spec.key).agg(

@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -23,6 +24,8 @@ from starload.operators.rules import as_int, as_text, field, vtype
 from starload.session import delete_path, path_exists, rename_path
 from starload.specs import TableSpec
 
+_log = logging.getLogger(__name__)
+
 
 def route_by_id(records: DataFrame, payload: str = "payload") -> tuple[DataFrame, DataFrame]:
     """records that carry an explicit id, and those that leave it to the store."""
@@ -214,7 +217,15 @@ def full_load(
             continue
         try:
             pos = (position or {}).get(name, cleaning.POSITION)
-            res = cleaning.clean(raw[name], spec, position=pos)
+            staged_rows = f"{target_dir}/_staging/{name}"
+
+            def stage(ann: DataFrame, path: str = staged_rows) -> DataFrame:
+                # annotated rows written once to the shared folder: kept rows, rejects and
+                # orphans all read them back instead of re-running the parse chain
+                ann.write.mode("overwrite").parquet(path)
+                return spark.read.parquet(path)
+
+            res = cleaning.clean(raw[name], spec, position=pos, stage=stage)
             kept = res.kept.select(*spec.columns)
             dropped = res.dropped.select(F.col("_drop_step").alias("reason"), "_raw")
             if spec.refs:
@@ -234,6 +245,7 @@ def full_load(
             dropped.write.mode("overwrite").parquet(rej_path)
             statuses.append(LoadStatus(name, "success", n, spark.read.parquet(rej_path).count()))
         except Exception:  # noqa: BLE001 - status is reported, later tables are skipped
+            _log.exception("loading %s failed; later tables are skipped", name)
             failed = True
             statuses.append(LoadStatus(name, "failed", 0, 0))
     return spark.createDataFrame(
