@@ -53,15 +53,24 @@ def conform(records: DataFrame, spec: TableSpec = specs.HIRED_EMPLOYEES, payload
     return records.select(*[c for c in records.columns if c != payload], *cols)
 
 
-def rank_partitions(spark: SparkSession) -> int:
-    """Partitions for a ranking pass: the session's shuffle sizing (which a large job raises to
-    keep partitions small), never fewer than the cores. An explicit count, so AQE keeps it."""
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(spark.sparkContext.defaultParallelism, shuffle, 1)
+def rank_partitions(df: DataFrame) -> int:
+    """Partitions for a ranking pass, sized like AQE would size them: the optimizer's size
+    estimate over the advisory partition size, at least the cores, at most the session's shuffle
+    sizing. An explicit count, which AQE keeps (both passes of a ranking must see it)."""
+    spark = df.sparkSession
+    cores = max(spark.sparkContext.defaultParallelism, 1)
+    cap = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), cores)
+    advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    target = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(advisory))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: fall back to the shuffle sizing
+        return cap
+    return max(cores, min(cap, -(-size // max(target, 1))))
 
 
 def _ranked(df: DataFrame, order: list[str] | tuple[str, ...], n_partitions: int | None) -> DataFrame:
-    n = n_partitions or rank_partitions(df.sparkSession)
+    n = n_partitions or rank_partitions(df)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     return ranged.select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mono"))
 
