@@ -157,18 +157,19 @@ def hash_column_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.select("event_id", hash_column("api_key_name").alias("api_key_hash"))
 
 
-_SANITIZE_SQL = f"""
-SELECT page_id, regexp_replace(
+def _sanitize_sql(col: str) -> str:
+    return f"""regexp_replace(
          regexp_replace(
            regexp_replace(
              regexp_replace(
-               substring(regexp_replace(html, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F]', '', 'g'), 1, {specs.SANITIZE_MAX_CHARS}),
+               substring(regexp_replace({col}, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F]', '', 'g'), 1, {specs.SANITIZE_MAX_CHARS}),
                '(?is)<script[^>]*>.*?</script>', '', 'g'),
              '(?i)javascript:', '', 'g'),
            '(?i)vbscript:', '', 'g'),
-         '^\\s+|\\s+$', '', 'g') AS html_clean
-FROM pages
-"""
+         '^\\s+|\\s+$', '', 'g')"""
+
+
+_SANITIZE_SQL = f"SELECT page_id, {_sanitize_sql('html')} AS html_clean FROM pages"
 
 
 @register("sanitize_text", oracle=_SANITIZE_SQL, ids=("E12",))
@@ -177,7 +178,12 @@ def sanitize_text_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", sanitize_text("html").alias("html_clean"))
 
 
-@register("sanitize_nested", oracle=None, ids=("E13",))
+@register(
+    "sanitize_nested",
+    oracle=f"""SELECT page_id, {_sanitize_sql('url')} AS url, {_sanitize_sql('html')} AS part0,
+       {_sanitize_sql('url')} AS part1, {_sanitize_sql('html')} AS field_html FROM pages""",
+    ids=("E13",),
+)
 def sanitize_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spread(table(spark, sf_dir, "pages"))
     nested = pages.select(
@@ -185,40 +191,12 @@ def sanitize_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("url").alias("url"), F.array(F.col("html"), F.col("url")).alias("parts")).alias("doc"),
         F.create_map(F.lit("html"), F.col("html")).alias("fields"),
     )
-    return map_all_strings(nested, sanitize_text)
-
-
-BURST_LIMIT = 3
-BURST_TTL_SECONDS = 6 * 3600
-
-
-def _burst_oracle() -> str:
-    ttl_us = BURST_TTL_SECONDS * 1_000_000
-    return f"""
-WITH RECURSIVE e AS (
-  SELECT user_id, event_id, epoch_us(ts) AS t,
-         ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY epoch_us(ts), event_id) AS rn
-  FROM events
-),
-sim(user_id, rn, event_id, cnt, expires, flagged) AS (
-  SELECT user_id, rn, event_id, 1, t + {ttl_us}, false FROM e WHERE rn = 1
-  UNION ALL
-  SELECT e.user_id, e.rn, e.event_id,
-         CASE WHEN (CASE WHEN e.t >= s.expires THEN 0 ELSE s.cnt END) >= {BURST_LIMIT}
-              THEN s.cnt ELSE (CASE WHEN e.t >= s.expires THEN 0 ELSE s.cnt END) + 1 END,
-         CASE WHEN (CASE WHEN e.t >= s.expires THEN 0 ELSE s.cnt END) >= {BURST_LIMIT}
-              THEN s.expires ELSE e.t + {ttl_us} END,
-         (CASE WHEN e.t >= s.expires THEN 0 ELSE s.cnt END) >= {BURST_LIMIT}
-  FROM sim s JOIN e ON e.user_id = s.user_id AND e.rn = s.rn + 1
-)
-SELECT user_id, event_id, flagged FROM sim
-"""
-
-
-@register("burst_flags", oracle=_burst_oracle(), ids=("T8",))
-def burst_flags_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from starload.operators.burst import burst_flags
-
-    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id")
-    out = burst_flags(events, key="user_id", ts="ts", tie="event_id", limit=BURST_LIMIT, ttl_seconds=BURST_TTL_SECONDS)
-    return out.select("user_id", "event_id", "flagged")
+    clean = map_all_strings(nested, sanitize_text)
+    # the nested values, sanitised in place, read back out as columns
+    return clean.select(
+        "page_id",
+        F.col("doc.url").alias("url"),
+        F.col("doc.parts").getItem(0).alias("part0"),
+        F.col("doc.parts").getItem(1).alias("part1"),
+        F.col("fields").getItem("html").alias("field_html"),
+    )
