@@ -59,3 +59,29 @@ def test_stream_equals_batch_and_restart(spark, workdir):
     assert len(loaded) == 41 - 6  # 6 short names rejected, one row got an assigned id
     assert errors.count("VALIDATION_ERROR") == 6 and errors.count("INVALID_ENVELOPE") == 1
     assert (140, "No Id", 1) in loaded or any(r[1] == "No Id" and r[0] > 139 for r in loaded)
+
+
+def test_stream_bursts_equal_batch(spark, workdir):
+    import datetime as dt
+
+    from starload.operators.burst import burst_flags
+    from starload.streaming.burst import burst_flags_stream
+
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(k, k * 1000 + i, t0 + dt.timedelta(seconds=7 * i + k)) for k in (1, 2) for i in range(40)]
+    ev = spark.createDataFrame(rows, "user_id long, event_id long, ts timestamp_ntz")
+    src = f"{workdir}/events"
+    # files in time order, one per chunk of the timeline
+    for c in range(4):
+        chunk = ev.where(f"ts >= timestamp_ntz'{t0 + dt.timedelta(seconds=70 * c)}' and ts < timestamp_ntz'{t0 + dt.timedelta(seconds=70 * (c + 1))}'")
+        chunk.coalesce(1).write.mode("overwrite").parquet(f"{src}/c={c}")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
+    flagged = burst_flags_stream(stream, key="user_id", ts="ts", tie="event_id", limit=4, ttl_seconds=30, watermark="1 minute")
+    out = f"{workdir}/out"
+    q = (flagged.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", f"{workdir}/ck").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert q.exception() is None
+    got = {(int(r.user_id), r.event_id): r.flagged for r in spark.read.parquet(out).collect()}
+    want = {(r.user_id, r.event_id): r.flagged for r in burst_flags(ev, key="user_id", ts="ts", tie="event_id", limit=4, ttl_seconds=30).collect()}
+    assert got == want and any(want.values())
