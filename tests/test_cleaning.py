@@ -95,3 +95,21 @@ def test_keep_first_stable_across_partitionings(spark):
     b = cleaning.clean(base.repartition(13), specs.HIRED_EMPLOYEES).kept.select("id", "_pos")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert a.where("_pos >= 997").count() == 0
+
+
+def test_hot_key_keep_first_is_an_aggregate(spark):
+    from pyspark.sql import functions as F
+
+    # a third of the rows share one id
+    base = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("999999")).otherwise(F.col("id").cast("string")).alias("id"),
+        F.lit("Ana").alias("name"), F.lit("2021-01-01T00:00:00").alias("datetime"),
+        F.lit("1").alias("department_id"), F.lit("1").alias("job_id"), (F.lit(30000) - F.col("id")).alias("_pos"),
+    )
+    res = cleaning.clean(base, specs.HIRED_EMPLOYEES)
+    hot = res.kept.where("id = 999999").collect()
+    assert len(hot) == 1 and hot[0]._pos == 30000 - 29997
+    assert res.kept.count() == 1 + 20000
+    res.kept.collect()
+    plan = res.kept._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "min_by" in plan
