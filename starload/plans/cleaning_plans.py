@@ -145,6 +145,29 @@ def clean_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.survivors(ann, specs.HIRED_EMPLOYEES, "timestamp").select("_pos", "_tie", "datetime")
 
 
+_TS_T = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?$"
+_TS_S = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
+
+
+@register(
+    "clean_timestamps_strict",
+    oracle=HIRES_STEPS_SQL
+    + f"""SELECT _pos, _tie,
+       CASE WHEN regexp_matches(datetime, '{_TS_T}') OR regexp_matches(datetime, '{_TS_S}')
+            THEN TRY_CAST(replace(datetime, 'T', ' ') AS TIMESTAMP) END AS datetime
+FROM s WHERE (step IS NULL OR step NOT IN ('required', 'name_blank', 'name_token'))
+  AND (regexp_matches(datetime, '{_TS_T}') OR regexp_matches(datetime, '{_TS_S}'))
+  AND TRY_CAST(replace(datetime, 'T', ' ') AS TIMESTAMP) IS NOT NULL""",
+    ids=("F5", "E5"),
+)
+def clean_timestamps_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strict mode: only the three zone-less shapes pass (a trailing Z is refused)."""
+    ann = cleaning.annotate(
+        fixtures.raw_hires(spark, sf_dir), specs.HIRED_EMPLOYEES, position=fixtures.HIRES_POSITION, strict_ts=True
+    )
+    return cleaning.survivors(ann, specs.HIRED_EMPLOYEES, "timestamp").select("_pos", "_tie", "datetime")
+
+
 @register(
     "clean_fk_ids",
     oracle=HIRES_STEPS_SQL
