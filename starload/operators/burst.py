@@ -147,21 +147,20 @@ def burst_flags(
         F.least(F.col("_R"), F.coalesce(F.col("_S"), F.lit(BIG))).alias("_j"),
     ).checkpoint()
 
-    # 3. pointer doubling: levels[k](i) = start of the epoch 2^k epochs after one starting at i
-    level = nodes.select("_g", "_R", "_j")
-    levels = [level]
-    while level.where(F.col("_j") < F.col("_R")).limit(1).count() > 0:
-        hop = level.select(F.col("_g").alias("_j"), F.col("_j").alias("_jj"))
-        nxt = level.join(hop, "_j", "left").select(
-            "_g", "_R",
-            F.when(F.col("_j") < F.col("_R"), F.least(F.coalesce("_jj", F.col("_R")), F.col("_R")))
-            .otherwise(F.col("_R")).alias("_j"),
-        )
-        level = nxt.checkpoint()
+    # 3. pointer doubling: level k maps a call to the epoch start 2^k epochs after one starting
+    #    there. A pointer that reached its segment's end is final (it can only stay there), so a
+    #    level keeps just the pointers still inside their segment: later rounds shrink.
+    level = nodes.where(F.col("_j") < F.col("_R")).select("_g", "_R", "_j").checkpoint()
+    levels = []
+    while level.limit(1).count() > 0:
         levels.append(level)
+        hop = level.select(F.col("_g").alias("_j"), F.col("_j").alias("_jj"))
+        # a target without an active pointer has already reached the segment end R
+        nxt = level.join(hop, "_j", "left").select("_g", "_R", F.coalesce("_jj", F.col("_R")).alias("_j"))
+        level = nxt.where(F.col("_j") < F.col("_R")).checkpoint()
     reach = nodes.where("_reset").select("_g", "_R")
     for lvl in levels:
-        step = reach.join(lvl.select("_g", "_j"), "_g").where(F.col("_j") < F.col("_R"))
+        step = reach.join(lvl.select("_g", "_j"), "_g")
         reach = reach.unionByName(step.select(F.col("_j").alias("_g"), "_R")).checkpoint()
 
     # 4. epoch start of every call, and the flag

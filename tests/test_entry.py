@@ -7,6 +7,26 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
+EXPECTED = {
+    "above_average", "above_average_year", "assign_batches", "assign_ids", "audit_filter",
+    "backup_restore_roundtrip", "batch_contract", "batch_summary", "batch_transaction", "burst_flags",
+    "cascade_keep", "clean_dim", "clean_fk_ids", "clean_names", "clean_null_tokens", "clean_required",
+    "clean_stats", "clean_timestamps", "clean_timestamps_strict", "conform_fact", "csv_scan",
+    "dataset_profile", "dedup_keep_first", "flag_text_patterns", "full_load", "hash_column",
+    "latest_backup", "latest_logs", "left_join_on_filter", "log_date_rollup", "log_filter", "log_search",
+    "log_summary", "metric_envelope", "orphan_facts", "parse_envelope", "quarterly_pivot",
+    "quarterly_pivot_year", "reject_log", "route_by_id", "rule_fk", "rule_id_range", "rule_id_unused",
+    "rule_name_charset", "rule_name_length", "rule_not_future", "rule_required", "rule_ts_format",
+    "sanitize_nested", "sanitize_text", "severity_map", "shorten_message", "split_accept_reject",
+    "star_join", "structure_check", "to_envelope", "unknown_table", "validate_fact",
+}
+
+
+def test_registered_queries_are_all_there():
+    # guards against a query being dropped by accident: the set only grows
+    assert set(entry.queries()) >= EXPECTED
+
+
 def test_every_query_has_oracle_or_is_known_rows_only():
     q = entry.queries()
     o = entry.oracle_sql()
