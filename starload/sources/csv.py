@@ -140,6 +140,13 @@ def profile(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     )
 
 
+def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` rows of the source in file order (a sample is the feature here; only
+    the earliest splits are read)."""
+    order = [c for c in POSITION if c in df.columns]
+    return (df.orderBy(*order) if order else df).limit(n)
+
+
 def files_size_mb(spark: SparkSession, path: str) -> float:
     """Total size of the matching files in MB (listing metadata)."""
     jvm = spark.sparkContext._jvm

@@ -35,3 +35,16 @@ def test_structure_check_missing_and_extra(spark, workdir):
     (d / "c.csv").write_text("name,other\nAna,1\n")
     rows = {r.file: r for r in csv.structure_check(spark, str(d), specs.DEPARTMENTS.columns).collect()}
     assert not rows["c.csv"].ok and rows["c.csv"].missing == ["id"]
+
+
+def test_profile_sample_and_size(spark, workdir):
+    from pathlib import Path
+
+    d = Path(workdir) / "p"
+    d.mkdir()
+    (d / "a.csv").write_text("\n".join(f"{i},Name{i}" for i in range(1, 21)))
+    df = csv.read_raw(spark, str(d), specs.DEPARTMENTS)
+    prof = csv.profile(df, specs.DEPARTMENTS.columns).first()
+    assert (prof.rows, prof.n_columns, prof.columns) == (20, 2, "id,name")
+    assert [r.id for r in csv.sample_rows(df).collect()] == ["1", "2", "3", "4", "5"]
+    assert 0 < csv.files_size_mb(spark, str(d)) < 1
