@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starload.llm import token_plans  # noqa: F401
+from starload.llm import near_plans, token_plans  # noqa: F401
 from starload.llm.registry import QUERIES
 
 __all__ = ["QUERIES"]
