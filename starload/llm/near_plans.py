@@ -1,4 +1,4 @@
-"""Queries of the near-duplicate operators: documents (7)."""
+"""Queries of the duplicate operators: repeated passages (1), near copies (7)."""
 
 from __future__ import annotations
 
@@ -7,8 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from starload.llm.common import table
 from starload.llm.near_dup import near_duplicates
 from starload.llm.registry import query
+from starload.llm.substring_dedup import remove_repeats
 
 
 @query("op7_near_dup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("text_hash")
+
+
+@query("op1_substring_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), texts=False).drop("text_hash", "removed")
