@@ -1,4 +1,4 @@
-"""Queries of the duplicate operators: repeated passages (1), near copies (7)."""
+"""Queries of the duplicate operators: repeated passages (1), near copies (7), vectors (9)."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from starload.llm.common import table
 from starload.llm.near_dup import near_duplicates
 from starload.llm.registry import query
 from starload.llm.substring_dedup import remove_repeats
+from starload.llm.vector_dup import near_vectors
 
 
 @query("op7_near_dup")
@@ -18,3 +19,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_substring_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), texts=False).drop("text_hash", "removed")
+
+
+@query("op9_vector_dup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
