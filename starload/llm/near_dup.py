@@ -167,7 +167,7 @@ def _verify(pairs: DataFrame, classes: DataFrame, rows: DataFrame, percent: int,
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
-    """One row per document: its set's size, the least id of its component, and whether it is that one.
+    """One row per document: its set's size, the least id of its component, whether it is that one, its text's hash and its group.
 
     Documents are linked if the shared shingles are at least ``percent`` hundredths of all shingles of the two.
     """
@@ -198,7 +198,19 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFr
         roots = staged(connected(links, "a", "b"), "roots")
     named = classes.select("digest", "low").join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     least = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    of_class = named.join(least, "root").select("digest", "component_id")
+    of_class = named.join(least, "root").select("digest", "component_id", F.col("root").alias("group"))
     out = sets.select("doc_id", "text_hash", "n_shingles", "digest").join(of_class, "digest", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_hash")
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_hash", "group")
+
+
+def one_of_each(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
+    """The rows of ``docs``, unchanged, of which each group of near duplicates keeps one: that of the least id (nulls
+    last), of equal ids the least text hash. Rows without words stay; of rows equal in id and text one stays."""
+    near = near_duplicates(docs, percent, size)
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    grouped = near.where("n_shingles > 0").groupBy("group").agg(F.min(first).alias("first")).select("first.doc_id", "first.text_hash")
+    keep = grouped.unionByName(near.where("n_shingles = 0").select("doc_id", "text_hash").distinct())
+    keep = keep.select(F.col("doc_id").alias("__keep_id"), F.col("text_hash").alias("__keep_hash"))
+    rows = docs.withColumn("__hash", F.xxhash64("text")).join(keep, F.col("doc_id").eqNullSafe(F.col("__keep_id")) & (F.col("__hash") == F.col("__keep_hash")), "left_semi")
+    return rows.dropDuplicates(["doc_id", "__hash"]).drop("__hash")

@@ -13,7 +13,7 @@ from starload.llm.vector_dup import near_vectors
 
 @query("op7_near_dup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("text_hash")
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("text_hash", "group")
 
 
 @query("op1_substring_dedup")

@@ -27,6 +27,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starload.llm.blocks import whole_groups
 from starload.llm.common import prepare, slices, staged, text_rows
@@ -94,12 +95,14 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=1).compress
     for batch, text in slices(batches, "text"):
         data = pa.array([pack(t.as_buffer().to_pybytes()) for t in text], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("text_hash"), data], names=["doc_id", "text_hash", "packed"])
+        names = [c for c in batch.schema.names if c != "text"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), data], names=[*names, "packed"])
 
 
 def packed_rows(rows: DataFrame) -> DataFrame:
-    """Texts as zstd frames, for joins: a third of the bytes to shuffle."""
-    return rows.mapInArrow(_packed, "doc_id long, text_hash long, packed binary")
+    """Texts as zstd frames, for joins: a third of the bytes to shuffle. Other columns stay."""
+    kept = T.StructType([f for f in rows.schema if f.name != "text"])
+    return rows.mapInArrow(_packed, kept.add("packed", "binary"))
 
 
 def _unpack():
@@ -210,24 +213,26 @@ def _cut(size: int, texts: bool):
                 spans = [{"start": a, "length": b - a} for a, b in edge.reshape(-1, 2).tolist()]
                 rows.append((total, removed, hashlib.sha256(kept).hexdigest(), spans, (kept if removed else raw).decode() if texts else None))
             total, removed, sha, spans, text = zip(*rows, strict=True) if rows else ((),) * 5
+            carried = [c for c in batch.schema.names if c not in ("packed", "marks")]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), batch.column("text_hash"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string()),
+                    *(batch.column(c) for c in carried), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string()),
                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))), pa.array(text, pa.string()),
                 ],
-                names=["doc_id", "text_hash", "n_words", "n_removed", "kept_sha256", "removed", "kept_text"],
+                names=[*carried, "n_words", "n_removed", "kept_sha256", "removed", "kept_text"],
             )
 
     return run
 
 
-CUT = "doc_id long, text_hash long, n_words long, n_removed long, kept_sha256 string, removed array<struct<start: long, length: long>>, kept_text string"
+CUT = (("n_words", "long"), ("n_removed", "long"), ("kept_sha256", "string"), ("removed", "array<struct<start: long, length: long>>"), ("kept_text", "string"))
 
 
-def remove_repeats(docs: DataFrame, size: int = 35, texts: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = 35, texts: bool = True, carry: bool = False) -> DataFrame:
     """One row per document: words, removed words and their spans, the kept text and its digest.
 
-    The digest is of the kept words joined by one space. ``kept_text`` is the text itself if nothing was removed.
+    The digest is of the kept words joined by one space. ``kept_text`` is the text itself if nothing was removed. With
+    ``carry``, the input's other columns come along as the struct ``document``.
     ``size`` is from ``GRAM`` to ``GRAM`` + 62 words, so that a segment's windows fit one mask.
     """
     if not GRAM <= size <= GRAM + 62:
@@ -243,6 +248,7 @@ def remove_repeats(docs: DataFrame, size: int = 35, texts: bool = True) -> DataF
     one = F.struct("key", "segment", "copies", F.col("rep.start").alias("start"), F.col("rep.n_windows").alias("n_windows"), "hot")
     asked = distinct.join(per_key, "key").groupBy(F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_hash").alias("rep_hash")).agg(F.collect_list(one).alias("asked"))
     texts_of = packed_rows(rows)
+    whole = packed_rows(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), _but_text(docs).alias("document"))) if carry else texts_of
     same = (F.col("text_hash") == F.col("rep_hash")) & F.col("doc_id").eqNullSafe(F.col("rep_id"))
     words = staged(texts_of.join(asked, same).select("packed", "asked").mapInArrow(_words(size), "key long, segment long, copies long, hot boolean, words binary"), "segment-words")
     shards = words.where("not hot").repartition("key").sortWithinPartitions("key", "segment").select("key", "segment", "copies", "words")
@@ -252,5 +258,14 @@ def remove_repeats(docs: DataFrame, size: int = 35, texts: bool = True) -> DataF
     marks = repeated.where("not mixed").select("doc_id", "text_hash", "start", every.alias("mask"))
     marks = marks.unionByName(repeated.where("mixed").join(masks, ["key", "segment"]).select("doc_id", "text_hash", "start", "mask"))
     per_doc = marks.distinct().groupBy(F.col("doc_id").alias("rep_id"), F.col("text_hash").alias("rep_hash")).agg(F.collect_list(F.struct("start", "mask")).alias("marks"))
-    out = texts_of.join(per_doc, same, "left").select("doc_id", "text_hash", "packed", "marks").mapInArrow(_cut(size, texts), CUT)
+    schema = T.StructType([f for f in whole.schema if f.name != "packed"])
+    for name, kind in CUT:
+        schema = schema.add(name, T._parse_datatype_string(kind))
+    joined = whole.join(per_doc, same, "left")
+    out = joined.select(*[c for c in whole.columns if c != "packed"], "packed", "marks").mapInArrow(_cut(size, texts), schema)
     return out if texts else out.drop("kept_text")
+
+
+def _but_text(docs: DataFrame) -> F.Column:
+    """The row without its text, which comes back as ``kept_text``."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
