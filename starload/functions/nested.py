@@ -1,4 +1,4 @@
-"""Apply a string function to every string inside nested columns (structs, arrays, maps)."""
+"""Apply a string function to every string inside nested columns (structs, arrays, map values)."""
 
 from __future__ import annotations
 
@@ -21,10 +21,7 @@ def map_strings(c: Column, dtype: T.DataType, fn: Callable[[Column], Column]) ->
     if isinstance(dtype, T.ArrayType):
         return F.transform(c, lambda x: map_strings(x, dtype.elementType, fn))
     if isinstance(dtype, T.MapType):
-        out = F.transform_values(c, lambda _k, v: map_strings(v, dtype.valueType, fn))
-        if isinstance(dtype.keyType, T.StringType):
-            out = F.transform_keys(out, lambda k, _v: fn(k))
-        return out
+        return F.transform_values(c, lambda _k, v: map_strings(v, dtype.valueType, fn))  # keys stay
     return c
 
 

@@ -13,6 +13,8 @@ ColumnOrName = Column | str
 # A number as the lenient cleaner accepts it: optional sign, digits with optional fraction, or a
 # bare fraction, optional exponent. Guards ``try_cast(... as double)``, which also reads "12d".
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# A year leads, so that a time of day alone is no timestamp.
+DATE_FIRST_PATTERN = r"^\s*[+-]?\d{4,}"
 # Shapes accepted by the strict parser.
 STRICT_T_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$"
 STRICT_T_FRACTION_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}\.\d{1,6}$"
@@ -26,9 +28,11 @@ def _col(c: ColumnOrName) -> Column:
 def lenient_timestamp(c: ColumnOrName) -> Column:
     """Any ISO-8601 form Spark reads (``T`` or space, optional zone) → UTC wall clock, NTZ.
 
-    Each row is parsed on its own; nothing is inferred from other rows.
+    Each row is parsed on its own; nothing is inferred from other rows. A date is required: a time
+    of day alone would mean another instant every day, so it gives null.
     """
-    return F.try_to_timestamp(_col(c)).cast("timestamp_ntz")
+    col = _col(c)
+    return F.when(col.rlike(DATE_FIRST_PATTERN), F.try_to_timestamp(col)).cast("timestamp_ntz")
 
 
 def strict_timestamp(c: ColumnOrName) -> Column:

@@ -4,9 +4,10 @@
   folders afterwards: the target is never read and overwritten by the same job, and a failed
   write leaves the old table in place.
 * Ids for rows without one continue after the largest stored id. Dense positions come from a
-  range-partitioned, sorted pass: per-partition counts (one row per partition) give each
-  partition its base, and the row number inside the partition comes from
-  ``monotonically_increasing_id``. No single-partition window over the data.
+  range-partitioned, sorted pass that is written once to the shared folder: per-partition counts
+  (one row per partition) of what was written give each partition its base, and the row number
+  inside the partition comes from ``monotonically_increasing_id``. Numbering and counting read the
+  same files, so they agree whatever the plan. No single-partition window over the data.
 * Referential integrity is set-based: left joins to the distinct dimension keys flag orphans;
   semi joins keep the facts that survive a dimension replace.
 """
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from starload import specs
 from starload.operators.rules import as_int, as_text, field, vtype
-from starload.session import delete_path, path_exists, rename_path
+from starload.session import delete_path, path_exists, rename_path, scratch_path
 from starload.specs import TableSpec
 
 _log = logging.getLogger(__name__)
@@ -49,30 +50,23 @@ def conform(records: DataFrame, spec: TableSpec = specs.HIRED_EMPLOYEES, payload
         elif f.name == spec.name_column:
             cols.append(as_text(v).alias(f.name))
         else:
-            cols.append(as_int(v).cast(f.dataType).alias(f.name))
+            cols.append(as_int(v).try_cast(f.dataType).alias(f.name))  # beyond the type: null
     return records.select(*[c for c in records.columns if c != payload], *cols)
 
 
-def rank_partitions(df: DataFrame) -> int:
-    """Partitions for a ranking pass, sized like AQE would size them: the optimizer's size
-    estimate over the advisory partition size, at least the cores, at most the session's shuffle
-    sizing. An explicit count, which AQE keeps (both passes of a ranking must see it)."""
-    spark = df.sparkSession
-    cores = max(spark.sparkContext.defaultParallelism, 1)
-    cap = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), cores)
-    advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
-    target = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(advisory))
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: fall back to the shuffle sizing
-        return cap
-    return max(cores, min(cap, -(-size // max(target, 1))))
-
-
 def _ranked(df: DataFrame, order: list[str] | tuple[str, ...], n_partitions: int | None) -> DataFrame:
-    n = n_partitions or rank_partitions(df)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    return ranged.select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mono"))
+    """Rows in range partitions, sorted, tagged with partition and row number, written once and read back.
+
+    Range boundaries are sampled, so two runs of the same exchange may cut differently; what was
+    written is one cut. Without ``n_partitions`` the session's shuffle sizing applies.
+    """
+    ranged = df.repartitionByRange(n_partitions, *order) if n_partitions else df.repartitionByRange(*order)
+    tagged = ranged.sortWithinPartitions(*order).select(
+        "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mono")
+    )
+    path = scratch_path(df.sparkSession, "ranked")
+    tagged.write.parquet(path)
+    return df.sparkSession.read.schema(tagged.schema).parquet(path)
 
 
 def _bases(counts: DataFrame) -> DataFrame:
@@ -88,11 +82,8 @@ def _row_in_partition() -> Column:
 def positions(df: DataFrame, order: list[str] | tuple[str, ...], n_partitions: int | None = None) -> DataFrame:
     """Adds ``_position``: 0-based rank of each row by ``order`` (which must be unique).
 
-    Rows are range-partitioned and sorted by ``order`` (an explicit partition count, which AQE
-    keeps). Per-partition counts give each partition its base; the row number inside a partition
-    comes from ``monotonically_increasing_id``. Both uses read the same range exchange, which
-    Spark reuses, so they see identical partitions; with a unique order the recomputation after a
-    lost executor is identical too.
+    Per-partition counts give each partition its base; the row number inside a partition comes
+    from ``monotonically_increasing_id``. Both uses read the same written rows.
     """
     cols = df.columns
     tagged = _ranked(df, order, n_partitions)
@@ -184,8 +175,8 @@ def staged_overwrite(df: DataFrame, path: str) -> int:
     n = spark.read.parquet(staging).count()
     old = f"{path.rstrip('/')}.__old"
     delete_path(spark, old)
-    if path_exists(spark, path):
-        rename_path(spark, path, old)
+    if path_exists(spark, path) and not rename_path(spark, path, old):
+        raise OSError(f"could not move {path} aside")
     if not rename_path(spark, staging, path):
         if path_exists(spark, old):
             rename_path(spark, old, path)

@@ -12,7 +12,7 @@ the plan cheap at scale:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.functions.parse import year_range
@@ -124,11 +124,18 @@ def left_join_on_filter(
     ts: str,
     year: int | None = None,
 ) -> DataFrame:
-    """Every dimension row, joined to its facts of ``year`` (predicate in the ON clause)."""
-    cond: Column = dim[dim_key] == fact[fk]
-    if year is not None:
-        cond = cond & year_range(ts, int(year), fact.schema[ts].dataType)
-    return dim.join(fact, cond, "left")
+    """Every dimension row, joined to its facts of ``year`` (predicate in the ON clause).
+
+    A left join cannot split a hot key on its right side, which is the fact's. So the matches are an
+    inner join, whose fact side can be split, and the dimension rows without one come from an
+    anti-join with the fact's distinct keys, pre-aggregated.
+    """
+    f = _year_filter(fact, ts, year)
+    matched = dim.join(f, F.col(dim_key) == F.col(fk))
+    keys = f.select(F.col(fk).alias("_fk")).distinct()
+    alone = dim.join(keys, F.col(dim_key) == F.col("_fk"), "left_anti")
+    nulls = [F.lit(None).cast(c.dataType).alias(c.name) for c in fact.schema.fields]
+    return matched.unionByName(alone.select("*", *nulls))
 
 
 def metric_envelope(result: DataFrame, filtered_year: int | str | None = None) -> DataFrame:

@@ -113,7 +113,12 @@ def _exists_flag(df: DataFrame, keys: DataFrame, key_col: str, table: str, flag:
 
 
 def _stored_flag(df: DataFrame, targets: dict[str, DataFrame], key_col: str, table_col: str) -> DataFrame:
-    """One left join against the stored ids of every target table, keyed on (table, id)."""
+    """One left join, keyed on (table, id), against those of the records' own ids that are stored.
+
+    The stored ids are probed by a semi-join with the records' distinct ids, so a small batch never
+    makes the target tables distinct or shuffles them when Spark can broadcast the batch's side.
+    """
+    wanted = df.select(F.col(table_col).alias("_wt"), F.col(key_col).alias("_wk")).where("_wk is not null").distinct()
     parts = [
         t.select(F.lit(name).alias("_tk"), F.col(t.columns[0]).cast("bigint").alias("_k"))
         for name, t in targets.items()
@@ -121,6 +126,7 @@ def _stored_flag(df: DataFrame, targets: dict[str, DataFrame], key_col: str, tab
     stored = parts[0]
     for p in parts[1:]:
         stored = stored.unionByName(p)
+    stored = stored.join(wanted, (F.col("_tk") == F.col("_wt")) & (F.col("_k") == F.col("_wk")), "left_semi")
     stored = stored.distinct().withColumn("_hit_stored", F.lit(True))
     cond = (F.col(table_col) == F.col("_tk")) & (F.col(key_col) == F.col("_k"))
     j = df.join(stored, cond, "left").drop("_tk", "_k")
@@ -229,16 +235,20 @@ def flag_in_batch_duplicates(
     """Accepted records whose explicit id repeats an earlier accepted one of the same table and
     batch → DUPLICATE_IN_BATCH (the load would otherwise fail on the key).
 
-    A batch holds at most ``MAX_RECORDS_PER_CALL`` records (the call contract, the flush size),
-    so a window over (batch, table, id) is bounded by the batch size.
+    The first of each (batch, table, id) is a minimum over the accepted records with an id, which is
+    pre-aggregated, so neither rejected records nor an id repeated very often meet in one task.
+    ``order`` must be unique in a batch.
     """
-    from pyspark.sql import Window
-
     orders = [order] if isinstance(order, str) else list(order)
     elig = F.col("error_type").isNull() & F.col("_payload_id").isNotNull()
-    w = Window.partitionBy(*batch_cols, table_col, "_payload_id", elig).orderBy(*orders)
-    dup = elig & (F.row_number().over(w) > 1)
-    return validated.select(
+    keys = [*batch_cols, table_col, "_payload_id"]
+    first = validated.where(elig).groupBy(*[F.col(k).alias(f"_first_{k}") for k in keys]).agg(F.min(F.struct(*orders)).alias("_first"))
+    on = elig
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_first_{k}"))
+    joined = validated.join(first, on, "left")
+    dup = F.coalesce(F.struct(*orders) > F.col("_first"), F.lit(False))
+    return joined.select(
         *[c for c in validated.columns if c not in ("error_type", "error_codes", "error_message")],
         F.when(dup, F.lit(specs.DUPLICATE_IN_BATCH)).otherwise(F.col("error_type")).alias("error_type"),
         F.when(dup, F.array(F.lit("DUPLICATE"))).otherwise(F.col("error_codes")).alias("error_codes"),

@@ -11,38 +11,28 @@ from starload.plans.tables import table
 
 YEAR = 1998
 
-_PIVOT_SQL = """
-SELECT CAST(EXTRACT(YEAR FROM l.l_shipdate) AS INTEGER) AS year,
-       s.s_name AS department,
-       p.p_brand AS job,
-       CAST(SUM(CASE WHEN EXTRACT(QUARTER FROM l.l_shipdate) = 1 THEN 1 ELSE 0 END) AS BIGINT) AS q1,
-       CAST(SUM(CASE WHEN EXTRACT(QUARTER FROM l.l_shipdate) = 2 THEN 1 ELSE 0 END) AS BIGINT) AS q2,
-       CAST(SUM(CASE WHEN EXTRACT(QUARTER FROM l.l_shipdate) = 3 THEN 1 ELSE 0 END) AS BIGINT) AS q3,
-       CAST(SUM(CASE WHEN EXTRACT(QUARTER FROM l.l_shipdate) = 4 THEN 1 ELSE 0 END) AS BIGINT) AS q4
-FROM lineitem l
-JOIN supplier s ON l.l_suppkey = s.s_suppkey
-JOIN part p ON l.l_partkey = p.p_partkey
-WHERE 1 = 1 {year_filter}
-GROUP BY EXTRACT(YEAR FROM l.l_shipdate), s.s_name, p.p_brand
-ORDER BY year DESC, department ASC, job ASC
-"""
-
-_ABOVE_SQL = """
-WITH yearly_stats AS (
-    SELECT CAST(EXTRACT(YEAR FROM l.l_shipdate) AS INTEGER) AS year, s.s_suppkey AS id,
-           s.s_name AS department, COUNT(l.l_orderkey) AS hired
-    FROM supplier s
-    LEFT JOIN lineitem l ON s.s_suppkey = l.l_suppkey {year_filter}
-    GROUP BY EXTRACT(YEAR FROM l.l_shipdate), s.s_suppkey, s.s_name
-),
-yearly_averages AS (
-    SELECT year, AVG(hired) AS avg_hires FROM yearly_stats GROUP BY year
-)
-SELECT ys.year, ys.id, ys.department, ys.hired, ya.avg_hires
-FROM yearly_stats ys JOIN yearly_averages ya ON ys.year = ya.year
-WHERE ys.hired > ya.avg_hires
-ORDER BY ys.year DESC, ys.hired DESC
-"""
+def _in_year(year: int | None) -> str:
+    return "l_shipdate IS NOT NULL" if year is None else f"l_shipdate >= DATE '{year}-01-01' AND l_shipdate < DATE '{year + 1}-01-01'"
+
+
+def _pivot_sql(year: int | None) -> str:
+    """Counts per quarter as filtered counts over one star join."""
+    quarters = ", ".join(f"count(*) FILTER (quarter(l_shipdate) = {q}) AS q{q}" for q in (1, 2, 3, 4))
+    return f"""SELECT CAST(year(l_shipdate) AS INTEGER) AS year, s_name AS department, p_brand AS job, {quarters}
+FROM lineitem, supplier, part
+WHERE l_suppkey = s_suppkey AND l_partkey = p_partkey AND {_in_year(year)}
+GROUP BY ALL"""
+
+
+def _above_sql(year: int | None) -> str:
+    """Yearly counts of the suppliers that have any, held against their mean by a window."""
+    return f"""SELECT year, id, department, hired, avg_hires FROM (
+  SELECT CAST(year(l_shipdate) AS INTEGER) AS year, s_suppkey AS id, s_name AS department, count(l_orderkey) AS hired,
+         avg(count(l_orderkey)) OVER (PARTITION BY year(l_shipdate)) AS avg_hires
+  FROM lineitem, supplier
+  WHERE l_suppkey = s_suppkey AND {_in_year(year)}
+  GROUP BY year(l_shipdate), s_suppkey, s_name)
+WHERE hired > avg_hires"""
 
 
 def _pivot(spark: SparkSession, sf_dir: str, year: int | None) -> DataFrame:
@@ -65,28 +55,28 @@ def _above(spark: SparkSession, sf_dir: str, year: int | None) -> DataFrame:
     )
 
 
-@register("quarterly_pivot", oracle=_PIVOT_SQL.format(year_filter=""), ids=("M1", "A1", "A2", "E1", "E2", "O1"))
+@register("quarterly_pivot", oracle=_pivot_sql(None), ids=("M1", "A1", "A2", "E1", "E2", "O1"))
 def quarterly_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pivot(spark, sf_dir, None)
 
 
 @register(
     "quarterly_pivot_year",
-    oracle=_PIVOT_SQL.format(year_filter=f"AND EXTRACT(YEAR FROM l.l_shipdate) = {YEAR}"),
+    oracle=_pivot_sql(YEAR),
     ids=("M1", "F10"),
 )
 def quarterly_pivot_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pivot(spark, sf_dir, YEAR)
 
 
-@register("above_average", oracle=_ABOVE_SQL.format(year_filter=""), ids=("M2", "J3", "A3", "A4", "A5", "O2"))
+@register("above_average", oracle=_above_sql(None), ids=("M2", "J3", "A3", "A4", "A5", "O2"))
 def above_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _above(spark, sf_dir, None)
 
 
 @register(
     "above_average_year",
-    oracle=_ABOVE_SQL.format(year_filter=f"AND EXTRACT(YEAR FROM l.l_shipdate) = {YEAR}"),
+    oracle=_above_sql(YEAR),
     ids=("M2", "F10"),
 )
 def above_average_year(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,9 +120,7 @@ def left_join_on_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ENVELOPE_SQL = (
     "WITH r AS ("
-    + _ABOVE_SQL.format(year_filter=f"AND EXTRACT(YEAR FROM l.l_shipdate) = {YEAR}").replace(
-        "ORDER BY ys.year DESC, ys.hired DESC", ""
-    )
+    + _above_sql(YEAR)
     + f""")
 SELECT '{YEAR}' AS filtered_year,
        to_json({{'year': year, 'id': id, 'department': department, 'hired': hired, 'avg_hires': avg_hires}}) AS data,

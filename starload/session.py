@@ -47,6 +47,9 @@ def shared_dir(spark: SparkSession) -> str:
         conf_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         conf_dir = conf_dir.get() if conf_dir.isDefined() else None
     if not conf_dir:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="starload-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", conf_dir)
@@ -62,10 +65,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -107,6 +106,5 @@ __all__ = [
     "list_dirs",
     "delete_path",
     "rename_path",
-    "is_local_path",
 ]
 

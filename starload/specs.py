@@ -23,13 +23,11 @@ NAME_MIN_LENGTH = 2
 NAME_MAX_LENGTH = 255
 NAME_CHARSET = r"^[a-zA-ZáéíóúÁÉÍÓÚñÑ\s\-\.]+$"
 # Strict timestamp shapes: T with seconds, T with fraction, space with seconds; no zone suffix.
-STRICT_TS_FORMATS = ("%Y-%m-%dT%H:%M:%S", "%Y-%m-%dT%H:%M:%S.%f", "%Y-%m-%d %H:%M:%S")
 # Largest fact id accepted by validation (int32 maximum).
 FACT_ID_MAX = 2147483647
 # Batch sizes: records per API call, rows per load batch, rows per backup part.
 MAX_RECORDS_PER_CALL = 1000
 LOAD_BATCH_SIZE = 1000
-BACKUP_PART_ROWS_API = 1000
 BACKUP_PART_ROWS_CLI = 100000
 # Stream flush: records per flush and seconds between flushes.
 FLUSH_RECORDS = 1000
@@ -74,7 +72,6 @@ LOG_LIMIT = 50
 LOG_SUMMARY_LAST = 5
 AUDIT_LIMIT = 100
 # Backup snapshot folder stamp: yyyymmddThhmmss, 15 characters.
-BACKUP_STAMP_FORMAT = "yyyyMMdd'T'HHmmss"
 BACKUP_STAMP_PATTERN = r"^\d{8}T\d{6}$"
 
 # Error types written to the reject log (the first four as in the reference, the rest ours).

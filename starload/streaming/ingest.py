@@ -7,7 +7,9 @@ dimensions are re-read each batch), append accepted rows, write rejects and batc
 Delivery: each micro-batch writes its output under ``batch_id=<n>`` folders with overwrite, so a
 batch replayed after a failure replaces its own output instead of duplicating it; together with
 the checkpoint this gives effectively-once results (the reference could silently drop a failed
-flush). The trigger and per-trigger caps stand in for the flush rule (1000 records or 2 s).
+flush). Ids count as stored only from batches before it, so a replay accepts what the first run
+accepted. The trigger interval stands in for the flush rule's 2 s; its 1000 records are a per-trigger
+cap that the caller may set.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from starload import specs
 from starload.operators import ingest, loading, rejects
-from starload.session import path_exists
+from starload.session import list_dirs, path_exists
 
 KAFKA_TOPICS = ",".join(f"raw.{t}" for t in specs.TABLES)
 
@@ -36,16 +38,15 @@ class IngestConfig:
     dims_from: dict[str, str] = field(default_factory=dict)  # optional override of dim folders
 
 
-def kafka_source(spark: SparkSession, servers: str, topics: str = KAFKA_TOPICS, max_offsets: int = specs.FLUSH_RECORDS) -> DataFrame:
-    """Kafka topics from the earliest offset; ``maxOffsetsPerTrigger`` caps a micro-batch."""
-    raw = (
+def kafka_source(spark: SparkSession, servers: str, topics: str = KAFKA_TOPICS, max_offsets: int | None = None) -> DataFrame:
+    """Kafka topics from the earliest offset; ``max_offsets`` (unset: all that is there) caps a micro-batch."""
+    source = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topics)
         .option("startingOffsets", "earliest")
-        .option("maxOffsetsPerTrigger", max_offsets)
-        .load()
     )
+    raw = (source.option("maxOffsetsPerTrigger", max_offsets) if max_offsets else source).load()
     return raw.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
@@ -54,14 +55,11 @@ def kafka_source(spark: SparkSession, servers: str, topics: str = KAFKA_TOPICS,
     )
 
 
-def file_source(spark: SparkSession, folder: str, max_files: int = 1) -> DataFrame:
-    """JSON-lines files ``{"key": ..., "value": "<envelope>", "offset": n}``; ``maxFilesPerTrigger``
-    caps a micro-batch. The message order is (file, offset)."""
-    raw = (
-        spark.readStream.schema("key string, value string, offset long")
-        .option("maxFilesPerTrigger", max_files)
-        .json(folder)
-    )
+def file_source(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """JSON-lines files ``{"key": ..., "value": "<envelope>", "offset": n}``; ``max_files``
+    (unset: all that is there) caps a micro-batch. The message order is (file, offset)."""
+    source = spark.readStream.schema("key string, value string, offset long")
+    raw = (source.option("maxFilesPerTrigger", max_files) if max_files else source).json(folder)
     return raw.select(
         "key",
         "value",
@@ -76,6 +74,26 @@ def _read_ids(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([], "id bigint")
 
 
+def _earlier(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """Ids that batches before ``batch_id`` appended: a replayed batch does not meet its own rows."""
+    if not any(int(d.split("=")[1]) < batch_id for d in list_dirs(spark, path) if d.startswith("batch_id=")):
+        return spark.createDataFrame([], "id bigint")
+    return spark.read.parquet(path).where(F.col("batch_id") < batch_id).select(F.col("id").cast("bigint").alias("id"))
+
+
+def require_dimension_ids(checked: DataFrame) -> DataFrame:
+    """A dimension row needs an id that its column can hold; others are rejected as ``BAD_ID``."""
+    dims = [n for n, s in specs.TABLES.items() if not s.id_optional]
+    bad = F.col("error_type").isNull() & F.col("table").isin(*dims) & F.col("_payload_id").try_cast("int").isNull()
+    return checked.withColumns(
+        {
+            "error_codes": F.when(bad, F.array(F.lit(specs.BAD_ID))).otherwise(F.col("error_codes")),
+            "error_message": F.when(bad, F.lit(specs.BAD_ID)).otherwise(F.col("error_message")),
+            "error_type": F.when(bad, F.lit(specs.BAD_ID)).otherwise(F.col("error_type")),
+        }
+    )
+
+
 def process_batch(batch: DataFrame, batch_id: int, cfg: IngestConfig) -> None:
     """One micro-batch: validate, append accepted (ids assigned where missing), log rejects."""
     spark = batch.sparkSession
@@ -84,10 +102,10 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: IngestConfig) -> None:
     as_of = cfg.as_of or msgs.select(F.max("arrived")).scalar()
     try:
         stored = {t: _read_ids(spark, cfg.dims_from.get(t, f"{cfg.tables_dir}/{t}")) for t in specs.TABLES}
-        streamed = {t: _read_ids(spark, f"{cfg.stream_dir}/{t}") for t in specs.TABLES}
+        streamed = {t: _earlier(spark, f"{cfg.stream_dir}/{t}", batch_id) for t in specs.TABLES}
         targets = {t: stored[t].unionByName(streamed[t]) for t in specs.TABLES}
         dims = {t: targets[t] for t in ("departments", "jobs")}
-        checked = ingest.check_messages(msgs, dims=dims, targets=targets, as_of=as_of).persist()
+        checked = require_dimension_ids(ingest.check_messages(msgs, dims=dims, targets=targets, as_of=as_of)).persist()
         for name, spec in specs.TABLES.items():
             accepted = checked.where(F.col("error_type").isNull() & (F.col("table") == name))
             rows = loading.conform(accepted.select("_offset", "payload"), spec)
