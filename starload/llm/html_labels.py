@@ -20,4 +20,25 @@ PAGES = [
     f'<p>-<a href="/">Home</a> | <a href="/n">News</a> | <a href="/s">Sport</a></p><h1>+Mill for sale</h1><p>{_LONG}</p><p>{_MID}</p><p>{_LINKED}</p><p>-<a href="/1">Next story</a> <a href="/2">Story before</a></p>',
     f'<div role="banner">-The Evening Post, the paper that is read on the train home by most people in the valley</div><div role="main"><p>{_MID}</p><p>+So.</p></div><div role="contentinfo">-Write to the Evening Post at the old station house, second door on the left.</div>',
     f'<article><p>{_MID}</p><ul><li>+<a href="/m">Map</a></li><li>+<a href="/t">Timetable of all trains</a></li></ul><footer>-Filed under floods, rivers, schools and markets by the desk for the valley</footer></article><div>-This page was made by the paper and may not be copied without asking the paper first, thank you.</div>',
+    f'<div><p>-Rain in the west today, dry in the east, with a light wind from the north in the evening hours.</p><p>-Tides at noon.</p></div><article><h2>+Ferry</h2><p>{_MID}</p><p>+Late.</p><p>{_LONG}</p></article><div><p>-The paper is made by twelve people in a house by the bridge, and it has been so for forty years.</p><p>-Find us there.</p></div>',
+    f'<p>-Today is the day of the saint of all who mend nets, and the shops close early in the lower town.</p><main><p>{_LONG}</p><p>+Well.</p><p>{_LINKED}</p></main><p>-For the winners of last week see the list that hangs in the window of the office.</p><p>-Good luck.</p>',
+    f'<div>-A word before all: the office stays closed on Monday, and letters will be read on the day after that.</div><article><p>+One.</p><p>{_MID}</p><p>+Two words.</p></article><div>-The next paper comes out on Friday with the plan of the new harbour as a large map for the wall.</div><div>-Bye.</div>',
 ]
+
+# Every kind of side part, with texts of every length, in pages with and without a main part.
+_PLAIN = ["Two words.", "A line of about eight words and no more.", "A longer text of some twenty words which says one thing and then another, as notes at the side of a page do.",
+          "A very long text, of forty words or more, that could be part of a story by its length alone: it tells of the weather, the roads, the price of fish, and of those who came home late in the week, as the paper has always done, since it began."]
+_SIDES = ["nav", "footer", "aside", "form", 'div class="sidebar"', 'div class="cookie-notice"', 'div class="ad"', 'section id="comments"', 'div class="related"', 'div role="complementary"']
+
+
+def _of(sign: str, texts: list[str]) -> str:
+    return "".join(f"<p>{sign}{t}</p>" for t in texts)
+
+
+for _k, _side in enumerate(_SIDES):
+    _own, _body = _PLAIN[_k % 4 :] + _PLAIN[: _k % 4], _PLAIN[3 - _k % 4 :] + _PLAIN[: 3 - _k % 4]
+    _part = f"<{_side}>{_of('-', _own)}</{_side.split()[0]}>"
+    _main = f"<article>{_of('+', _body)}<p>+<a href='/x'>A link of four words</a></p></article>"
+    PAGES.append(f"{_part}{_main}<div>{_of('-', _own[:2])}</div>" if _k % 2 else f"<div>{_of('-', _own[2:])}</div>{_main}{_part}")
+    PAGES.append(f"{_part}<div>{_of('+', [_PLAIN[3], _PLAIN[2], _PLAIN[_k % 2], _PLAIN[3]])}</div>" if _k % 2 else f"<div>{_of('+', [_PLAIN[3], _PLAIN[0], _PLAIN[2]])}</div>{_part}")
+    PAGES.append(f"<article>{_of('+', _body[:2])}{_part}{_of('+', _body[2:])}</article>")
