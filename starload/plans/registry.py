@@ -41,6 +41,7 @@ def load_all() -> dict[str, Query]:
         metric_plans,
         rule_plans,
         source_plans,
+        stream_plans,
     )
 
     return QUERIES

@@ -50,13 +50,54 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dataset_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _landed_csv(spark, sf_dir)
     df = csv.read_raw(spark, root, specs.HIRED_EMPLOYEES, glob="*/*.csv")
-    return csv.profile(df, specs.HIRED_EMPLOYEES.columns)
+    return csv.profile(df)
 
 
-@register("structure_check", oracle=None, ids=("S3", "O6"))
+def _as_files(lines: DataFrame, path: str, header: str | None = None) -> None:
+    """Text lines as files, each with ``header`` first. The first row of a partition brings it along."""
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    line = F.col("line") if header is None else F.when(first, F.concat(F.lit(header + "\n"), F.col("line"))).otherwise(F.col("line"))
+    lines.select(line.alias("value")).write.text(path)
+
+
+_QUOTED = "'\"' || s_name || ', \"\"the ' || CASE WHEN s_suppkey % 3 = 0 THEN 'old' ELSE 'new' END || '\"\"' || CASE WHEN s_suppkey % 2 = 0 THEN ' house' ELSE '' END || '\"'"
+
+
+@register(
+    "structure_check",
+    oracle="""SELECT folder, headed, ok, missing, extra FROM (VALUES
+  ('headed', true, true, '', ''), ('plain', false, true, '', ''), ('short', true, false, 'name', 'title')) AS t(folder, headed, ok, missing, extra)
+WHERE EXISTS (SELECT 1 FROM lineitem WHERE folder <> 'short') OR EXISTS (SELECT 1 FROM supplier WHERE folder = 'short')""",
+    ids=("S3", "O6"),
+)
 def structure_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both folders of the landed fact, and one of a dimension whose header has another name; the same for any number of files."""
     root = _landed_csv(spark, sf_dir)
-    return csv.structure_check(spark, f"{root}/headed", specs.HIRED_EMPLOYEES.columns)
+    suppliers = table(spark, sf_dir, "supplier").select(F.concat_ws(",", "s_suppkey", "s_name").alias("line"))
+    other = scratch_path(spark, "csv-structure")
+    _as_files(suppliers, f"{other}/short", 'id, "title"')
+    fact = csv.structure_check(spark, root, specs.HIRED_EMPLOYEES.columns, glob="*/*.csv")
+    found = fact.unionByName(csv.structure_check(spark, other, specs.DEPARTMENTS.columns, glob="short/part-*"))
+    return found.select("folder", "headed", "ok", F.array_join("missing", ",").alias("missing"), F.array_join("extra", ",").alias("extra")).distinct()
+
+
+@register(
+    "csv_by_header",
+    oracle="""SELECT CAST(s_suppkey AS VARCHAR) AS id,
+       s_name || ', "the ' || CASE WHEN s_suppkey % 3 = 0 THEN 'old' ELSE 'new' END || '"' || CASE WHEN s_suppkey % 2 = 0 THEN chr(10) || 'house' ELSE '' END AS name
+FROM supplier""",
+    ids=("S1", "S2", "S6"),
+)
+def csv_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files of three makes: columns in either order under padded names with one more between, and without a header.
+    Names hold commas, doubled quotes and line breaks."""
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.expr(_QUOTED).alias("name"))
+    rows = rows.withColumn("name", F.regexp_replace("name", " house", "\nhouse"))
+    root, number = scratch_path(spark, "csv-headers"), F.col("s_suppkey").cast("string")
+    _as_files(rows.where("s_suppkey % 3 = 0").select(F.concat_ws(",", number, "name").alias("line")), f"{root}/a", "id,name")
+    _as_files(rows.where("s_suppkey % 3 = 1").select(F.concat_ws(",", "name", F.lit("x"), number).alias("line")), f"{root}/b", ' name , note, "id"')
+    _as_files(rows.where("s_suppkey % 3 = 2").select(F.concat_ws(",", number, "name").alias("line")), f"{root}/c")
+    return csv.read_raw(spark, root, specs.DEPARTMENTS, glob="*/part-*", multiline=True).select("id", "name")
 
 
 @register(

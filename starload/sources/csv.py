@@ -3,6 +3,9 @@ whole tokens, structure checks, profiles, and the raw zone."""
 
 from __future__ import annotations
 
+import re
+from csv import reader
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +22,8 @@ _CSV_OPTIONS = {
     "nullValue": _NO_NULL,
     "emptyValue": "",
     "mode": "PERMISSIVE",
-    "multiLine": "false",
+    "quote": '"',
+    "escape": '"',
 }
 
 
@@ -31,30 +35,37 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
         .option("ignoreLeadingWhiteSpace", "false")
         .option("ignoreTrailingWhiteSpace", "false")
         .option("emptyValue", "")
+        .option("escape", '"')
         .option("quoteAll", "true")
         .csv(path)
     )
 
 
-def first_line(spark: SparkSession, file_path: str) -> str:
-    """The first line of one file, read through the Hadoop filesystem (bytes, not a scan)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(file_path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    stream = fs.open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-        return line or ""
-    finally:
-        stream.close()
+def first_lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(file, line): the first line of each file, found by the tasks that read the files' first splits."""
+    rows = spark.read.text(files).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+        F.col("value"),
+    )
+    return rows.where(F.col("_block") == 0).groupBy("file").agg(F.min_by("value", "_row").alias("line"))
+
+
+def _cells(line: str) -> tuple[str, ...]:
+    return tuple(c.strip() for c in next(reader([line], skipinitialspace=True), []))
 
 
-def looks_like_header(line: str, expected: tuple[str, ...]) -> bool:
-    """A header when any comma-separated token, unquoted and trimmed, *is* an expected
-    column name (whole tokens, so a data row holding "David" is not a header)."""
-    tokens = {t.strip().strip('"').strip() for t in line.split(",")}
-    return any(c in tokens for c in expected)
+def header_names(line: str, expected: tuple[str, ...]) -> tuple[str, ...] | None:
+    """The column names of a header line, or null for a data row.
+
+    Cells are unquoted and trimmed. A header has distinct names only (so no number, blank or text
+    with marks), among them at least half of the expected columns: a data row with one cell that
+    happens to be a column name, such as ``1,id``, is none.
+    """
+    cells = _cells(line)
+    named = all(re.fullmatch(r"[A-Za-z_][A-Za-z0-9_ ]*", c) for c in cells) and len(set(cells)) == len(cells)
+    return cells if cells and named and 2 * len(set(cells) & set(expected)) >= len(expected) else None
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*.csv") -> list[str]:
@@ -67,31 +78,37 @@ def list_files(spark: SparkSession, path: str, glob: str = "*.csv") -> list[str]
     return sorted(str(s.getPath()) for s in (fs.globStatus(pattern) or []))
 
 
-def read_raw(spark: SparkSession, path: str, spec: TableSpec, *, header: bool | None = None, glob: str = "*.csv") -> DataFrame:
+def read_raw(
+    spark: SparkSession, path: str, spec: TableSpec, *, header: bool | None = None, glob: str = "*.csv", multiline: bool = False
+) -> DataFrame:
     """Every matching file as STRING columns in the spec's order plus a source position.
 
-    ``header=None`` sniffs each file's first line. Headed files are read by column *name*
-    (another column order or extra columns are fine); headerless ones by position.
+    ``header=None`` looks at each file's first line (``header=True`` says that all have one). Headed
+    files are read by column *name*: those with the same header are read together with it as their
+    schema, so another column order, padded names or extra columns are fine, and a missing column is
+    null. Headerless files are read by position. Quotes are doubled inside quoted cells; with
+    ``multiline`` these may hold line breaks, and a file is then one task.
     """
     files = list_files(spark, path, glob)
     if not files:
         return spark.createDataFrame([], _with_position(raw_schema(spec)))
-    flags = {f: (looks_like_header(first_line(spark, f), spec.columns) if header is None else header) for f in files}
+    groups: dict[tuple[str, ...] | None, list[str]] = {}
+    if header is False:
+        groups[None] = files
+    else:
+        seen = {r.file: r.line for r in first_lines(spark, files).collect()}  # one row per file, as the listing
+        for file, line in sorted(seen.items()):
+            names = _cells(line) if header else header_names(line, spec.columns)
+            groups.setdefault(names, []).append(file)
     parts = []
-    for has_header in (True, False):
-        group = [f for f, h in flags.items() if h == has_header]
-        if not group:
-            continue
-        reader = spark.read.options(**_CSV_OPTIONS).option("header", str(has_header).lower())
-        if has_header:
-            df = reader.option("inferSchema", "false").csv(group)
-            missing = [c for c in spec.columns if c not in df.columns]
-            for c in missing:
-                df = df.withColumn(c, F.lit(None).cast("string"))
-        else:
-            extra = T.StructType(raw_schema(spec).fields + [T.StructField("_extra", T.StringType(), True)])
-            df = reader.schema(extra).csv(group)
-        parts.append(_positioned(df, spec))
+    for names, group in groups.items():
+        source = spark.read.options(**_CSV_OPTIONS | {"multiLine": str(multiline).lower()}).option("header", str(names is not None).lower())
+        columns = (*spec.columns, "_extra") if names is None else names
+        df = source.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).csv(group)
+        missing = {c: F.lit(None).cast("string") for c in spec.columns if c not in columns}
+        parts.append(_positioned(df.withColumns(missing) if missing else df, spec))
+    if not parts:  # files without a line
+        return spark.createDataFrame([], _with_position(raw_schema(spec)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -119,20 +136,32 @@ def _with_position(schema: T.StructType) -> T.StructType:
     )
 
 
-def structure_check(spark: SparkSession, path: str, expected: tuple[str, ...]) -> DataFrame:
-    """S3: columns named by the header; missing ones fail, extra ones only warn."""
-    rows = []
-    for f in list_files(spark, path):
-        line = first_line(spark, f)
-        cols = [t.strip().strip('"').strip() for t in line.split(",")] if looks_like_header(line, expected) else list(expected)
-        missing = sorted(set(expected) - set(cols))
-        extra = sorted(set(cols) - set(expected))
-        rows.append((f.rsplit("/", 1)[-1], not missing, missing, extra))
-    return spark.createDataFrame(rows, "file string, ok boolean, missing array<string>, extra array<string>")
+def structure_check(spark: SparkSession, path: str, expected: tuple[str, ...], glob: str = "*.csv") -> DataFrame:
+    """S3: per file, whether it has a header, and which expected columns that lacks (then it fails) or has besides.
+
+    A headerless file is read by position and passes.
+    """
+    names = F.array(*[F.lit(c) for c in expected])
+    files = list_files(spark, path, glob)
+    cells = F.transform(F.split("line", ","), lambda c: F.trim(F.regexp_replace(F.trim(c), '^"|"$', "")))
+    rows = first_lines(spark, files).select("file", cells.alias("cells"))
+    named = F.forall("cells", lambda c: c.rlike("^[A-Za-z_][A-Za-z0-9_ ]*$")) & (F.size(F.array_distinct("cells")) == F.size("cells"))
+    headed = named & (2 * F.size(F.array_intersect("cells", names)) >= len(expected))
+    found = rows.select("file", headed.alias("headed"), F.when(headed, F.col("cells")).otherwise(names).alias("cells"))
+    missing, extra = F.sort_array(F.array_except(names, "cells")), F.sort_array(F.array_except("cells", names))
+    return found.select(
+        F.element_at(F.split("file", "/"), -1).alias("file"),
+        F.element_at(F.split("file", "/"), -2).alias("folder"),
+        "headed",
+        (F.size(missing) == 0).alias("ok"),
+        missing.alias("missing"),
+        extra.alias("extra"),
+    )
 
 
-def profile(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Row count and column list (one pass, exact count)."""
+def profile(df: DataFrame) -> DataFrame:
+    """Exact row count and the columns that were read (source positions aside), in one pass."""
+    columns = [c for c in df.columns if c not in POSITION]
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.lit(len(columns)).alias("n_columns"),
@@ -141,20 +170,20 @@ def profile(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
-    """The first ``n`` rows of the source in file order (a sample is the feature here; only
-    the earliest splits are read)."""
+    """The first ``n`` rows of the source in file order (a sample is the feature here). Every task
+    keeps its first ``n``, then those are merged; nothing is sorted whole."""
     order = [c for c in POSITION if c in df.columns]
     return (df.orderBy(*order) if order else df).limit(n)
 
 
 def files_size_mb(spark: SparkSession, path: str) -> float:
-    """Total size of the matching files in MB (listing metadata)."""
+    """Total size of the matching files in MB (listing metadata), not rounded."""
     jvm = spark.sparkContext._jvm
     total = 0
     for f in list_files(spark, path):
         p = jvm.org.apache.hadoop.fs.Path(f)
         total += p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).getLen()
-    return round(total / (1024 * 1024), 2)
+    return total / (1024 * 1024)
 
 
 def land_raw(df: DataFrame, raw_zone: str, table: str) -> str:

@@ -79,3 +79,21 @@ def test_full_load_dims_first(spark):
     rows = {r.table: r for r in full_load(spark, "/root/testdata/sf0.001").collect()}
     assert [rows[t].status for t in ("departments", "jobs", "hired_employees")] == ["success"] * 3
     assert rows["hired_employees"].rows_loaded > 0 and rows["hired_employees"].rows_rejected > 0
+
+
+def test_positions_of_a_wide_frame_are_dense(spark, workdir):
+    """A million rows with more columns than the order's, written and read back, with exchange reuse on and off."""
+    n = 1_000_000
+    wide = spark.range(n).select(((F.col("id") * 7919) % n).alias("k"), F.col("id").cast("string").alias("name"), (F.col("id") % 13).alias("x"))
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            loading.positions(wide, ["k"]).write.parquet(f"{workdir}/p-{reuse}")
+            ids = wide.withColumn("id", F.when(F.col("x") == 0, F.col("k")))
+            loading.assign_ids(ids, order=["k"]).write.parquet(f"{workdir}/i-{reuse}")
+        finally:
+            spark.conf.unset("spark.sql.exchange.reuse")
+        r = spark.read.parquet(f"{workdir}/p-{reuse}").agg(F.count_distinct("_position").alias("d"), F.sum((F.col("_position") != F.col("k")).cast("int")).alias("off"))
+        assert tuple(r.first()) == (n, 0)
+        new = spark.read.parquet(f"{workdir}/i-{reuse}").where("x <> 0").agg(F.count_distinct("id").alias("d"), F.min("id"), F.max("id"), F.count("*").alias("n")).first()
+        assert new.d == new.n and new[2] - new[1] + 1 == new.n

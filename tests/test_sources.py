@@ -44,7 +44,28 @@ def test_profile_sample_and_size(spark, workdir):
     d.mkdir()
     (d / "a.csv").write_text("\n".join(f"{i},Name{i}" for i in range(1, 21)))
     df = csv.read_raw(spark, str(d), specs.DEPARTMENTS)
-    prof = csv.profile(df, specs.DEPARTMENTS.columns).first()
+    prof = csv.profile(df).first()
     assert (prof.rows, prof.n_columns, prof.columns) == (20, 2, "id,name")
     assert [r.id for r in csv.sample_rows(df).collect()] == ["1", "2", "3", "4", "5"]
     assert 0 < csv.files_size_mb(spark, str(d)) < 1
+
+
+def test_headers_and_data_rows_are_told_apart():
+    expected = ("id", "name")
+    assert csv.header_names('id, "name"', expected) == ("id", "name")
+    assert csv.header_names(" name ,note,id", expected) == ("name", "note", "id")
+    for row in ("1,id", "1,David", "id,id", "", '7,"name"', "a,b"):
+        assert csv.header_names(row, expected) is None
+
+
+def test_files_of_differing_headers_and_quoted_cells(spark, workdir):
+    from pathlib import Path
+
+    d = Path(workdir) / "h"
+    d.mkdir()
+    (d / "a.csv").write_text('id,name\n1,"Ana ""the"" Gil"\n')
+    (d / "b.csv").write_text('name, id\n"Luis\nPaz",2\n')
+    (d / "c.csv").write_text("3,id\n")
+    (d / "d.csv").write_text("")
+    got = csv.read_raw(spark, str(d), specs.DEPARTMENTS, multiline=True).select("id", "name").collect()
+    assert sorted(map(tuple, got)) == [("1", 'Ana "the" Gil'), ("2", "Luis\nPaz"), ("3", "id")]

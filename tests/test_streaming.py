@@ -85,3 +85,24 @@ def test_stream_bursts_equal_batch(spark, workdir):
     got = {(int(r.user_id), r.event_id): r.flagged for r in spark.read.parquet(out).collect()}
     want = {(r.user_id, r.event_id): r.flagged for r in burst_flags(ev, key="user_id", ts="ts", tie="event_id", limit=4, ttl_seconds=30).collect()}
     assert got == want and any(want.values())
+
+
+def test_a_replayed_batch_gives_the_same_rows(spark, workdir):
+    src, cfg = _setup(spark, f"{workdir}/replay", 1)
+    msgs = _messages() + [
+        {"key": "", "value": json.dumps({"table": "jobs", "payload": {"id": 3000000000, "name": "Too large"}}), "offset": 50},
+        {"key": "", "value": json.dumps({"table": "jobs", "payload": {"name": "No id"}}), "offset": 51},
+        {"key": "", "value": json.dumps({"table": "jobs", "payload": {"id": 77, "name": "Fine"}}), "offset": 52},
+    ]
+    batch = spark.createDataFrame([(m["key"], m["value"], (0, m["offset"])) for m in msgs], "key string, value string, _offset struct<file: int, offset: long>")
+    batch = batch.selectExpr("*", "timestamp_ntz'2024-01-01 00:00:00' AS arrived")
+    runs = []
+    for _ in range(2):
+        stream_ingest.process_batch(batch, 0, cfg)
+        rows = {t: sorted(map(tuple, spark.read.parquet(f"{cfg.stream_dir}/{t}/batch_id=0").select("id", "name").collect())) for t in ("hired_employees", "jobs")}
+        errors = sorted(r.error_type for r in spark.read.parquet(cfg.reject_dir).collect())
+        runs.append((rows, errors))
+    assert runs[0] == runs[1]
+    assert runs[0][0]["jobs"] == [(77, "Fine")] and runs[0][1].count("BAD_ID") == 2
+    stream_ingest.process_batch(batch, 1, cfg)  # a later batch meets the ids of the one before
+    assert not spark.read.parquet(f"{cfg.stream_dir}/jobs/batch_id=1").count()
