@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload import specs
@@ -19,8 +19,11 @@ def reject_rows(
     record_id: Column,
     raw_data: Column | None = None,
 ) -> DataFrame:
-    """Rejected records in the reject-log shape."""
+    """Rejected records in the reject-log shape (S14). ``raw_data`` is the payload, or the message's own
+    text where no payload could be read from it."""
     raw = raw_data if raw_data is not None else F.to_json(F.col("payload"))
+    if raw_data is None and "value" in checked.columns:
+        raw = F.coalesce(raw, F.col("value"))
     return checked.where(F.col("error_type").isNotNull()).select(
         log_id.cast("bigint").alias("id"),
         timestamp.cast("timestamp_ntz").alias("timestamp"),
@@ -78,6 +81,45 @@ def batch_contract(messages: DataFrame, group: tuple[str, ...] = ("table", "batc
     return agg.withColumn("contract_ok", ok)
 
 
+def append_log(log: DataFrame, path: str) -> None:
+    """Append entries to the stored log, which is partitioned by day."""
+    log.withColumn("day", F.to_date("timestamp")).write.mode("append").partitionBy("day").parquet(path)
+
+
+def stored_log(spark: SparkSession, path: str) -> DataFrame:
+    """The stored log. A filter on its ``day`` reads those days' folders only."""
+    return spark.read.parquet(path)
+
+
+def enforce_contract(messages: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """adds ``contract_ok``, whether the message's call carries 1..1000 records. Sizes are pre-aggregated."""
+    sizes = messages.groupBy(F.col(batch).alias("_call")).agg(F.count(F.lit(1)).alias("_records"))
+    joined = messages.join(sizes, F.col(batch).eqNullSafe(F.col("_call")))
+    return joined.withColumn("contract_ok", F.col("_records").between(1, specs.MAX_RECORDS_PER_CALL)).drop("_call", "_records")
+
+
+def call_reply(checked: DataFrame, batch: str = "batch_id", index: str = "record_id") -> DataFrame:
+    """Per call the records accepted and rejected, the status, and the list of errors by record.
+
+    Only calls inside the contract come here, so a list has at most 1000 entries.
+    """
+    error = F.when(F.col("error_type").isNotNull(), F.struct(F.col(index).cast("int").alias("record"), F.col("error_message").alias("error")))
+    agg = checked.groupBy(batch).agg(
+        F.count_if(F.col("error_type").isNull()).alias("accepted"),
+        F.count_if(F.col("error_type").isNotNull()).alias("rejected"),
+        F.sort_array(F.collect_list(error)).alias("errors"),
+    )
+    return agg.withColumn("status", F.when(F.col("accepted") > 0, F.lit(202)).otherwise(F.lit(400)))
+
+
+def refused_reply(messages: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """The reply to calls outside the contract: nothing is checked or inserted, and one error says why."""
+    why = F.struct(F.lit(None).cast("int").alias("record"), F.lit("BATCH_SIZE").alias("error"))
+    return messages.groupBy(batch).agg(F.lit(0).cast("bigint").alias("accepted"), F.count(F.lit(1)).alias("rejected")).select(
+        batch, "accepted", "rejected", F.array(why).alias("errors"), F.lit(400).alias("status")
+    )
+
+
 def log_filter(
     log: DataFrame,
     *,
@@ -88,7 +130,10 @@ def log_filter(
 ) -> DataFrame:
     """entries of the last N hours before ``as_of`` (a parameter, never ``now()``)."""
     end = F.lit(as_of if isinstance(as_of, str) else as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
-    out = log.where(F.col("timestamp") >= end - F.make_dt_interval(hours=F.lit(last_hours)))
+    since = end - F.make_dt_interval(hours=F.lit(last_hours))
+    out = log.where(F.col("timestamp") >= since)
+    if "day" in log.columns:  # a stored log: only these days' folders are read
+        out = out.where(F.col("day") >= F.to_date(since))
     if table is not None:
         out = out.where(F.col("table_name") == table)
     if error_type is not None:

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from starload import specs
 from starload.functions.nested import map_all_strings
-from starload.functions.text import event_colour, hash_column, matches_any, sanitize_text
+from starload.functions.text import event_colour, hash_column, json_record, matches_any, nan_to_null, sanitize_text
 from starload.operators import rejects
 from starload.operators.partitioning import spread
 from starload.plans import fixtures
 from starload.plans.registry import register
 from starload.plans.rule_plans import CHECKED_SQL, reject_log
 from starload.plans.tables import table
+from starload.session import scratch_path
 
 LOG_AS_OF = "2024-01-20 00:00:00"
 LOG_HOURS = 72
@@ -45,6 +46,51 @@ def log_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("id", "timestamp", "table_name", "error_type")
 
 
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reject log, appended to a store in two writes by parity of the message, and read back."""
+    path, log = scratch_path(spark, "reject-log"), reject_log(spark, sf_dir)
+    rejects.append_log(log.where("id % 2 = 0"), path)
+    rejects.append_log(log.where("id % 2 = 1"), path)
+    return rejects.stored_log(spark, path)
+
+
+@register(
+    "stored_log_filter",
+    oracle=REJECT_LOG_SQL
+    + f"""SELECT id, "timestamp", table_name, error_type FROM reject_log
+WHERE "timestamp" >= TIMESTAMP '{LOG_AS_OF}' - INTERVAL {LOG_HOURS} HOUR""",
+    ids=("S14", "F15"),
+)
+def stored_log_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = rejects.log_filter(_stored(spark, sf_dir), as_of=LOG_AS_OF, last_hours=LOG_HOURS)
+    return out.select("id", "timestamp", "table_name", "error_type")
+
+
+@register(
+    "stored_log_raw",
+    oracle=CHECKED_SQL
+    + """SELECT _offset AS id, error_type, CASE WHEN error_type = 'INVALID_ENVELOPE' THEN value END AS raw_text, value IS NOT NULL AS has_raw
+FROM final WHERE error_type IS NOT NULL""",
+    ids=("S14",),
+)
+def stored_log_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stored log keeps of each message: the text itself where it is no envelope."""
+    raw = F.when(F.col("error_type") == specs.INVALID_ENVELOPE, F.col("raw_data"))
+    return _stored(spark, sf_dir).select("id", "error_type", raw.alias("raw_text"), F.col("raw_data").isNotNull().alias("has_raw"))
+
+
+@register(
+    "log_last",
+    oracle=REJECT_LOG_SQL
+    + f"""SELECT id, "timestamp", table_name, record_id, error_type, error_message FROM reject_log
+ORDER BY "timestamp" DESC, id DESC LIMIT {specs.LOG_SUMMARY_LAST}""",
+    ids=("A9",),
+)
+def log_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest errors that the log summary ends with."""
+    return rejects.latest(reject_log(spark, sf_dir), specs.LOG_SUMMARY_LAST).drop("raw_data")
+
+
 @register(
     "log_search",
     oracle=REJECT_LOG_SQL
@@ -236,3 +282,19 @@ def burst_flags_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id")
     out = burst_flags(events, key="user_id", ts="ts", tie="event_id", limit=BURST_LIMIT, ttl_seconds=BURST_TTL_SECONDS)
     return out.select("user_id", "event_id", "flagged")
+
+
+@register(
+    "json_records",
+    oracle="""SELECT event_id, '{"event_id":' || CAST(event_id AS VARCHAR) || ',"ts":' || coalesce('"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '"', 'null')
+       || ',"user_id":' || coalesce(CAST(user_id AS VARCHAR), 'null') || ',"ratio":'
+       || CASE WHEN event_id % 5 = 0 THEN 'null' ELSE CAST(event_id % 4 AS VARCHAR) || '.5' END || '}' AS record
+FROM events""",
+    ids=("E10",),
+)
+def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows as JSON for a log: ISO timestamps, no NaN (every fifth ratio is one)."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    ratio = F.when(F.col("event_id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("event_id") % 4 + F.lit(0.5))
+    rows = events.withColumn("ratio", nan_to_null(ratio))
+    return rows.select("event_id", json_record("event_id", "ts", "user_id", "ratio").alias("record"))

@@ -9,6 +9,7 @@ from starload.operators import ingest, rejects
 from starload.plans import fixtures
 from starload.plans.registry import register
 from starload.plans.tables import table
+from starload.session import scratch_path
 from starload.sources.envelope import parse_envelope
 
 
@@ -335,6 +336,41 @@ def batch_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.batch_contract(env)
 
 
+# calls of 1500 records (refused), then of 700
+_CALL_SQL = f"CASE WHEN {fixtures.RAW_MESSAGES['_offset']} < 3000 THEN CAST(floor({fixtures.RAW_MESSAGES['_offset']} / 1500) AS BIGINT) ELSE 10 + CAST(floor({fixtures.RAW_MESSAGES['_offset']} / 700) AS BIGINT) END"
+
+
+@register(
+    "batch_call",
+    oracle=CHECKED_SQL.replace(fixtures.RAW_MESSAGES["batch_id"], _CALL_SQL)
+    + """SELECT batch_id, CASE WHEN n > 1000 THEN 0 ELSE ok END AS accepted, CASE WHEN n > 1000 THEN n ELSE n - ok END AS rejected,
+       CASE WHEN n > 1000 OR ok = 0 THEN 400 ELSE 202 END AS status, CASE WHEN n > 1000 THEN 'BATCH_SIZE' ELSE coalesce(errors, '') END AS errors,
+       CASE WHEN n > 1000 THEN 0 ELSE ok END AS inserted
+FROM (SELECT batch_id, count(*) AS n, count(*) FILTER (error_type IS NULL) AS ok,
+             string_agg(CAST(_offset % 1000 AS VARCHAR) || ' ' || error_message, '|' ORDER BY _offset % 1000, error_message)
+               FILTER (error_type IS NOT NULL) AS errors
+      FROM final GROUP BY batch_id)""",
+    ids=("L8", "F12", "A7"),
+)
+def batch_call(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch calls end to end: the contract refuses calls of more than 1000 records, the rest are checked, accepted
+    records are written, and each call gets its counts, status and list of errors."""
+    dims, targets = dims_and_targets(spark, sf_dir)
+    messages = fixtures.raw_messages(spark, sf_dir)
+    number = F.col("_offset")
+    call = F.when(number < 3000, F.floor(number / 1500)).otherwise(10 + F.floor(number / 700)).cast("bigint")
+    called = rejects.enforce_contract(messages.withColumn("batch_id", call))
+    checked = ingest.check_messages(called.where("contract_ok"), dims=dims, targets=targets, as_of=fixtures.AS_OF)
+    checked = checked.withColumn("record_id", ingest.record_index(F.col("_offset")))
+    path = scratch_path(spark, "batch-call")
+    checked.where(F.col("error_type").isNull()).select("batch_id", "_offset").write.parquet(path)
+    inserted = spark.read.parquet(path).groupBy(F.col("batch_id").alias("_call")).agg(F.count(F.lit(1)).alias("inserted"))
+    replies = rejects.call_reply(checked).unionByName(rejects.refused_reply(called.where("not contract_ok")))
+    text = F.array_join(F.transform("errors", lambda e: F.concat_ws(" ", e["record"].cast("string"), e["error"])), "|")
+    out = replies.join(inserted, F.col("batch_id") == F.col("_call"), "left")
+    return out.select("batch_id", "accepted", "rejected", "status", text.alias("errors"), F.coalesce("inserted", F.lit(0)).alias("inserted"))
+
+
 @register(
     "route_by_id",
     oracle=CHECKED_SQL
