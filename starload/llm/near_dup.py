@@ -6,8 +6,10 @@
    block the pairs whose likely similarity is not far below the threshold go on: all pairs of a small block, of a larger
    one a spanning forest of the likeliest pairs and the star of its most central member, since one class per document
    is asked for and not each pair.
-3. These pairs are verified on the full sets. A second round takes, from lists whose members are still in different
-   components, every likely pair across components, so that no link that would join two of them is left out.
+3. These pairs are verified on the full sets. A second round takes every likely pair across what are still different
+   components, each pair in the lowest band that the two share, so that no link that would join two of them is left out.
+   There may be many such pairs that are no links, so they never become rows: the blocks' members that have one get their
+   full sets, and a block verifies its pairs itself and gives the links that join components.
 4. Verified links give components.
 
 Defined results: texts without words, null texts and empty ones link with nothing; fewer words than a shingle are one
@@ -88,28 +90,70 @@ def _forest(weight: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _candidates(threshold: float, across: bool):
-    """Likely pairs of each block. ``across``: all that join different components, else what spans the block."""
-    floor = threshold - MARGIN * float(np.sqrt(threshold * (1 - threshold) / setsketch.REGISTERS))
-
-    def likely(r: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        close = np.minimum(size[a], size[b]) >= threshold * np.maximum(size[a], size[b])
-        a, b = a[close], b[close]
-        keep = np.zeros(len(close), bool)
-        keep[np.flatnonzero(close)] = setsketch.similarity(r[a], r[b], size[a].astype(float), size[b].astype(float)) >= floor
-        return keep
-
-    def block(r: np.ndarray, size: np.ndarray, chunk: np.ndarray, two: bool, root: list | None) -> tuple[np.ndarray, np.ndarray]:
-        same = _equal_counts(r)
-        ratio = np.minimum(size[:, None], size[None, :]) >= threshold * np.maximum(size[:, None], size[None, :])
-        same[~ratio | (same < (floor - 0.05) * r.shape[1])] = 0
-        np.fill_diagonal(same, 0)
-        if root is not None:
-            _, number = np.unique(np.array(root, dtype=object).astype(bytes), return_inverse=True)
-            same[number[:, None] == number[None, :]] = 0
-        if two:
-            same[chunk[:, None] == chunk[None, :]] = 0
-        if root is not None or len(r) <= SMALL:
+def _floor(threshold: float) -> float:
+    return threshold - MARGIN * float(np.sqrt(threshold * (1 - threshold) / setsketch.REGISTERS))
+
+
+def _likely(r: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    close = np.flatnonzero(np.minimum(size[a], size[b]) >= threshold * np.maximum(size[a], size[b]))
+    keep = np.zeros(len(a), bool)
+    for at in range(0, len(close), 50_000):
+        k = close[at : at + 50_000]
+        x, y = a[k], b[k]
+        keep[k] = setsketch.similarity(r[x], r[y], size[x].astype(float), size[y].astype(float)) >= _floor(threshold)
+    return keep
+
+
+def _alike(r: np.ndarray, size: np.ndarray, chunk: np.ndarray, two: bool, threshold: float) -> np.ndarray:
+    """Equal registers of each pair of a block's members, 0 where they are too few or the sizes too different."""
+    same = _equal_counts(r)
+    ratio = np.minimum(size[:, None], size[None, :]) >= threshold * np.maximum(size[:, None], size[None, :])
+    same[~ratio | (same < (_floor(threshold) - 0.05) * r.shape[1])] = 0
+    np.fill_diagonal(same, 0)
+    if two:
+        same[chunk[:, None] == chunk[None, :]] = 0
+    return same
+
+
+class _Blocks:
+    """The columns of a table of whole blocks."""
+
+    def __init__(self, table: pa.Table) -> None:
+        self.r = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint16).reshape(table.num_rows, -1)
+        self.size, self.chunk = table.column("n_shingles").to_numpy(), table.column("chunk").to_numpy()
+        self.two = table.column("chunk_i").to_numpy() != table.column("chunk_j").to_numpy()
+        self.band = table.column("list_key").to_numpy() & (BANDS - 1)
+        self.digest = table.column("digest")
+
+    def across(self, s: int, e: int, root: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """Likely pairs of different components in the block s:e, of which it is the lowest shared band."""
+        if (root[s:e] == root[s]).all():
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        same = _alike(self.r[s:e], self.size[s:e], self.chunk[s:e], bool(self.two[s]), threshold)
+        same[root[s:e, None] == root[None, s:e]] = 0
+        a, b = np.nonzero(np.triu(same))
+        a, b = a + s, b + s
+        lowest = np.zeros(len(a), np.int64)
+        for at in range(0, len(a), 50_000):
+            x, y = self.r[a[at : at + 50_000]], self.r[b[at : at + 50_000]]
+            lowest[at : at + 50_000] = np.argmax((x == y).reshape(len(x), BANDS, -1).all(axis=2), axis=1)
+        own = lowest == self.band[s]
+        a, b = a[own], b[own]
+        likely = _likely(self.r, self.size, a, b, threshold)
+        return a[likely], b[likely]
+
+
+def _pairs(digest: pa.ChunkedArray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    take = lambda x: digest.take(pa.array(x)).combine_chunks().cast(pa.binary())
+    return pa.RecordBatch.from_arrays([take(a), take(b)], names=["a", "b"])
+
+
+def _spanning(threshold: float):
+    """Likely pairs of each block: all of a small one, of a larger one what spans it."""
+
+    def block(k: _Blocks, s: int, e: int) -> tuple[np.ndarray, np.ndarray]:
+        same = _alike(k.r[s:e], k.size[s:e], k.chunk[s:e], bool(k.two[s]), threshold)
+        if e - s <= SMALL:
             return np.nonzero(np.triu(same))
         edges = _forest(same)
         center = int(np.argmax((same > 0).sum(axis=1)))
@@ -119,48 +163,96 @@ def _candidates(threshold: float, across: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in whole_groups(batches, BLOCK_KEYS):
-            r = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint16).reshape(table.num_rows, -1)
-            size, chunk = table.column("n_shingles").to_numpy(), table.column("chunk").to_numpy()
-            two = table.column("chunk_i").to_numpy() != table.column("chunk_j").to_numpy()
-            root = table.column("root").to_pylist() if across else None
-            n = np.diff(bounds)
+            k, n = _Blocks(table), np.diff(bounds)
             left, right = [bounds[:-1][n == 2]], [bounds[:-1][n == 2] + 1]
             for s, e in zip(bounds[:-1][n > 2].tolist(), bounds[1:][n > 2].tolist(), strict=True):
-                a, b = block(r[s:e], size[s:e], chunk[s:e], bool(two[s]), root[s:e] if root else None)
+                a, b = block(k, s, e)
                 left.append(a + s)
                 right.append(b + s)
             a, b = np.concatenate(left), np.concatenate(right)
-            if across:
-                apart = np.array([root[x] != root[y] for x, y in zip(a.tolist(), b.tolist(), strict=True)], bool)
-                a, b = a[apart], b[apart]
-            for at in range(0, len(a), 100_000):
-                x, y = a[at : at + 100_000], b[at : at + 100_000]
-                keep = likely(r, size, x, y)
-                digests = table.column("digest")
-                yield pa.RecordBatch.from_arrays([digests.take(pa.array(x[keep])).combine_chunks().cast(pa.binary()), digests.take(pa.array(y[keep])).combine_chunks().cast(pa.binary())], names=["a", "b"])
+            keep = _likely(k.r, k.size, a, b, threshold)
+            yield _pairs(k.digest, a[keep], b[keep])
 
     return run
 
 
+def _numbered(table: pa.Table) -> np.ndarray:
+    return table.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
+
+
+def _concerned(threshold: float):
+    """The rows of block members that have a likely pair across components in their block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in whole_groups(batches, BLOCK_KEYS):
+            k, root, keep = _Blocks(table), _numbered(table), np.zeros(table.num_rows, bool)
+            for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                a, b = k.across(s, e, root, threshold)
+                keep[a] = keep[b] = True
+            yield from table.filter(pa.array(keep)).to_batches(512)
+
+    return run
+
+
+def _joining(threshold: float, percent: int):
+    """Verified links of each block that join components, the likeliest pairs first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in whole_groups(batches, BLOCK_KEYS, 256):
+            k, root = _Blocks(table), _numbered(table)
+            items = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("items")]
+            left, right = [], []
+            for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                a, b = k.across(s, e, root, threshold)
+                order = np.argsort(-(k.r[a] == k.r[b]).sum(axis=1), kind="stable") if len(a) < 50_000 else np.arange(len(a))
+                to = {int(x): int(x) for x in np.unique(root[s:e])}
+
+                def find(x: int, to: dict = to) -> int:
+                    while to[x] != x:
+                        to[x] = to[to[x]]
+                        x = to[x]
+                    return x
+
+                for x, y in zip(a[order].tolist(), b[order].tolist(), strict=True):
+                    one, two = find(int(root[x])), find(int(root[y]))
+                    if one != two and _enough(items[x], items[y], percent):
+                        to[one] = two
+                        left.append(x)
+                        right.append(y)
+            yield _pairs(k.digest, np.array(left, np.int64), np.array(right, np.int64))
+
+    return run
+
+
+def _enough(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether sorted sets share ``percent`` hundredths of their union."""
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    both = int((b[at] == a).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
 def _verified(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("items_a"), batch.column("items_b"), strict=True):
-                a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
+                keep.append(_enough(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     return run
 
 
-def _verify(pairs: DataFrame, classes: DataFrame, rows: DataFrame, percent: int, size: int) -> DataFrame:
-    """``pairs`` whose full sets are as similar as asked for. A set is made once, from one document of its class."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
+def _sets_of(nodes: DataFrame, classes: DataFrame, rows: DataFrame, size: int) -> DataFrame:
+    """(digest, items) of the classes in ``nodes``. A set is made once, from one document of its class."""
     reps = nodes.join(classes.select("digest", "rep"), "digest").select("digest", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_hash").alias("rep_hash"))
     texts = rows.join(reps, (rows.text_hash == reps.rep_hash) & rows.doc_id.eqNullSafe(reps.rep_id)).select("digest", "text")
-    sets = staged(texts.mapInArrow(_full_sets(size), "digest binary, items binary").dropDuplicates(["digest"]), "sets")
+    return staged(texts.mapInArrow(_full_sets(size), "digest binary, items binary").dropDuplicates(["digest"]), "sets")
+
+
+def _verify(pairs: DataFrame, classes: DataFrame, rows: DataFrame, percent: int, size: int) -> DataFrame:
+    """``pairs`` whose full sets are as similar as asked for."""
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), classes, rows, size)
     of = lambda side: sets.select(F.col("digest").alias(side), F.col("items").alias(f"items_{side}"))
     both = pairs.join(of("a"), "a").join(of("b"), "b")
     return staged(both.mapInArrow(_verified(percent), "a binary, b binary"), "links")
@@ -179,23 +271,25 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFr
     classes = full.groupBy("digest").agg(F.min("doc_id").alias("low"), F.min(one).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"))
     classes = staged(classes, "classes")
     width = 2 * setsketch.REGISTERS // BANDS
-    keys = F.array(*[F.xxhash64(F.lit(i), F.substring("registers", 1 + i * width, width)) for i in range(BANDS)])
+    # the lowest bits of a list's key are its band
+    hashed = [F.xxhash64(F.lit(i), F.substring("registers", 1 + i * width, width)) for i in range(BANDS)]
+    keys = F.array(*[h.bitwiseAND(F.lit(-BANDS)).bitwiseOR(F.lit(i)) for i, h in enumerate(hashed)])
     lists = in_blocks(classes.select("digest", F.explode(keys).alias("list_key")), "digest", CHUNK)
     members = staged(lists, "members")
     described = members.join(classes.select("digest", "n_shingles", "registers"), "digest")
     pair = "a binary, b binary"
-    ordered = lambda p: p.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-    first = staged(ordered(dealt(described).mapInArrow(_candidates(percent / 100, False), pair)), "pairs")
-    links = _verify(first, classes, rows, percent, size)
+    first = dealt(described).mapInArrow(_spanning(percent / 100), pair)
+    first = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    links = _verify(staged(first, "pairs"), classes, rows, percent, size)
     roots = staged(connected(links, "a", "b"), "roots")
     rooted = members.join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     mixed = rooted.groupBy("list_key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("list_key")
-    again = rooted.join(mixed, "list_key").join(classes.select("digest", "n_shingles", "registers"), "digest")
-    second = ordered(dealt(again).mapInArrow(_candidates(percent / 100, True), pair)).join(first, ["a", "b"], "left_anti")
-    second = staged(second, "pairs")
-    if not second.isEmpty():
-        links = links.unionByName(_verify(second, classes, rows, percent, size))
-        roots = staged(connected(links, "a", "b"), "roots")
+    again = dealt(rooted.join(mixed, "list_key").join(classes.select("digest", "n_shingles", "registers"), "digest"))
+    concerned = staged(again.mapInArrow(_concerned(percent / 100), again.schema), "concerned")
+    if not concerned.isEmpty():
+        items = _sets_of(concerned.select("digest").distinct(), classes, rows, size)
+        more = dealt(concerned.join(items, "digest")).mapInArrow(_joining(percent / 100, percent), pair)
+        roots = staged(connected(links.unionByName(more), "a", "b"), "roots")
     named = classes.select("digest", "low").join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     least = named.groupBy("root").agg(F.min("low").alias("component_id"))
     of_class = named.join(least, "root").select("digest", "component_id", F.col("root").alias("group"))
