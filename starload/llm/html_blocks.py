@@ -19,12 +19,14 @@ ASIDE_WORDS = frozenset(
     "related recommended footer masthead topbar cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login search "
     "share sharing social comment comments reply replies discussion disqus respond copyright toolbar pagination pager header".split()
 )
+ASIDE_ENDINGS = ("nav", "menu", "footer", "sidebar", "comments", "banner", "advert", "cookie", "crumbs")
 MAIN = frozenset("article main".split())
 MAIN_WORDS = frozenset("article content post entry story main body text".split())
 FEATURES = ("aside", "main", "page_has_main", "heading", "words", "link_density", "words_before", "links_before", "words_after", "links_after")
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+HIDDEN = re.compile(r"(?:^|[\s\"'])hidden(?=\s|=|/|$)|display\s*:\s*none", re.I)
 PART = re.compile(r"[a-z]+|[0-9]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -52,7 +54,8 @@ def _context(name: str, attributes: str, in_main: bool) -> tuple[bool, bool]:
             words.update(PART.findall(CAMEL.sub(" ", value).lower()))
     if in_main:
         words.discard("header")
-    aside |= bool(words & ASIDE_WORDS)
+    aside |= bool(words & ASIDE_WORDS) or any(w.endswith(ASIDE_ENDINGS) for w in words)
+    aside |= bool(HIDDEN.search(attributes))
     return aside, main or (not aside and name != "body" and bool(words & MAIN_WORDS))
 
 

@@ -35,6 +35,7 @@ def test_pages_of_other_making(tree):
         ('<body><div id="cookie-banner"><p>We use cookies, as all do, to see who reads our many pages here.</p></div><article><h1>Title</h1><p>Short.</p><p>A second one with some more words in it.</p></article><section class="comments"><p>First! What a fine story this was to read in the train today.</p></section></body>', "Title Short. A second one with some more words in it."),
         ('<header><p>The Paper</p></header><main><p>Only text.</p><aside>Also read this long text about the other thing that came to pass last week.</aside><p>End.</p></main><form><p>Your name and your address please, so that we can write to you.</p></form>', "Only text. End."),
         ('<nav><a href="/">Home</a></nav><p>In a plain page without any main part, this text has a number of words that a menu has not, and so it is kept.</p><p>The next one of them goes on in the same way for a while and then it ends as well, at last.</p><footer>All rights kept by those who made this page.</footer>', "In a plain page without any main part, this text has a number of words that a menu has not, and so it is kept. The next one of them goes on in the same way for a while and then it ends as well, at last."),
+        ('<div class="topNav"><a href=a>One</a></div><div class="page-header"><p>The name of this page and a line on what it is about for those who come here first.</p></div><div id="content"><p>Kept.</p><div style="display: none">Not seen by any reader of this page at all.</div><p hidden>Nor this one.</p><div class="user-comments"><p>I like it.</p></div></div>', "Kept."),
     ]
     for page, want in cases:
         assert main_text(tree, page) == want
