@@ -6,9 +6,10 @@ allowed, the counter goes up by one and its expiry becomes t + ttl. Refused call
 extend the lifetime, so this is not a session window.
 
 A call that comes ttl or more after the key's previous call always finds the counter expired:
-those calls split each key's history into independent bursts. Bursts are found with Spark
-window functions (JVM, sort-based, spill-capable), and only the sequential rule inside one
-burst runs in Python (``applyInPandas`` over Arrow batches), one group per (key, burst).
+those calls split each key's history into independent bursts. ``burst_flags`` ranks all calls once,
+finds these resets by a join on the rank before, the next start of an epoch from any call by a search
+in a merged ranking, and marks the starts by pointer doubling; all of it in the JVM and split by rank.
+``burst_flags_scan``, a cross-check, runs the rule in one Python pass per burst.
 """
 
 from __future__ import annotations
