@@ -64,7 +64,7 @@ class Running:
             np.cumsum(numbers, axis=1, out=total[:, 1:])
             self.totals[lane] = total
         total = self.totals[lane]
-        stop = min(most, self.n - size + 1)
+        stop = max(begin, min(most, self.n - size + 1))  # the last part of a text may be shorter than a window
         counts = total[:, begin + size : stop + size : stride] - total[:, begin:stop:stride]
         major = np.ascontiguousarray(counts.T).view(lane) > size // 2
         return np.packbits(major.reshape(-1), bitorder="little").view(np.uint64)
