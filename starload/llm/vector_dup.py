@@ -1,6 +1,7 @@
 """Near-duplicate vectors by a pivot-permutation index: inverted lists of shared nearest pivots, then exact cosines.
 
-1. Pivots are rows of the table itself: a bounded sample (``pivot_count``), the least by a hash of the row.
+1. Pivots are rows of the table itself, from a bounded sample (twice ``pivot_count``), the least by a hash of the row. One
+   that is close to an earlier pivot is left out: among pivots of one crowd the order would be chance.
 2. Every vector is described by its ``NEAREST`` nearest pivots in order. Its inverted lists are the pairs of them, so two
    vectors meet in a list if they share two pivots, and in more lists the more they share.
 3. Lists are compared in blocks of bounded size. A pair of vectors is looked at in the one list of their two lowest
@@ -33,12 +34,23 @@ NEAREST = 8
 #: Bounds of the number of pivots, which grows with the square root of the number of vectors.
 PIVOTS_LEAST, PIVOTS_MOST = 64, 4096
 CHUNK = 1024
+#: Cosine from which on a vector is too close to a pivot to be one too.
+APART = 0.5
 
 
 def pivot_count(n: int) -> int:
     return int(min(max(2 * n**0.5, PIVOTS_LEAST), PIVOTS_MOST))
 
 
+def spread_out(unit: np.ndarray, most: int) -> np.ndarray:
+    """The first ``most`` rows, in order, that are not close to one taken before."""
+    taken = np.zeros((0, unit.shape[1]))
+    for v in unit:
+        if len(taken) < most and not (taken @ v >= APART).any():
+            taken = np.vstack([taken, v])
+    return taken
+
+
 def _unit(raw: pa.Array, dim: int) -> np.ndarray:
     x = np.frombuffer(b"".join(raw.to_pylist()), np.float64).reshape(-1, dim)
     return x / np.linalg.norm(x, axis=1)[:, None]
@@ -149,11 +161,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     classes = rows.where("vector is not null").groupBy("vector").agg(F.count("*").alias("copies"), F.min("vec_id").alias("low"))
     classes = staged(classes.withColumn("class", F.monotonically_increasing_id()), "vector-classes")
     n = classes.count()
-    sample = classes.orderBy(F.xxhash64("vector"), "class").limit(pivot_count(n)).select("vector").collect()
+    sample = classes.orderBy(F.xxhash64("vector"), "class").limit(2 * pivot_count(n)).select("vector").collect()
     dims = [len(r.vector) for r in sample]
     dim = max(set(dims), key=dims.count) if dims else 8
     raw = np.frombuffer(b"".join(r.vector for r in sample if len(r.vector) == dim), np.float64).reshape(-1, dim // 8)
-    pivots = raw / np.linalg.norm(raw, axis=1)[:, None] if len(raw) else np.ones((1, dim // 8))
+    pivots = spread_out(raw / np.linalg.norm(raw, axis=1)[:, None], pivot_count(n)) if len(raw) else np.ones((1, dim // 8))
     described = classes.select("class", "copies", "vector").mapInArrow(_described(pivots), "class long, copies long, vector binary, pivots array<int>, keys array<long>")
     described = staged(described, "described")
     members = in_blocks(described.select("class", F.explode("keys").alias("list_key")), "class", CHUNK)
@@ -162,7 +174,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     links = found.where("kind = 0").groupBy("class").agg(F.sum("value").alias("links"))
     roots = connected(found.where("kind = 1").select(F.col("class").alias("a"), F.col("value").alias("b")), "a", "b")
     named = classes.select("class", "vector", "copies", "low").join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    least = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    least = staged(named.groupBy("root").agg(F.min("low").alias("component_id")), "least")
     per_class = named.join(least, "root").join(links, "class", "left").select("vector", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
     out = rows.join(per_class, "vector", "left")
     component = F.when(F.col("vector").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
