@@ -13,12 +13,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starload.llm.common import staged
+
 BLOCK_KEYS = ["list_key", "chunk_i", "chunk_j"]
 
 
 def in_blocks(lists: DataFrame, member: str, cap: int) -> DataFrame:
     """``lists``: (list_key, member). Members of lists of two or more, with the blocks that they belong to and their own chunk."""
-    sizes = lists.groupBy("list_key").agg(F.count("*").alias("members")).where("members > 1")
+    sizes = staged(lists.groupBy("list_key").agg(F.count("*").alias("members")).where("members > 1"), "list-sizes")
     chunks = F.ceil(F.col("members") / cap)
     held = lists.join(sizes, "list_key").withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64(member), "chunks"))
     each = held.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,7 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: cuts the lineage, survives lost executors."""
+    """Write ``df`` once to the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    An aggregate that is joined back on its own key is staged too: joined in the aggregate's own stage, the other
+    side's hot keys could not be split; as a table of its own, both sides are plain exchanges, which Spark splits.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", codec).parquet(path)
@@ -42,8 +47,13 @@ def text_rows(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
-    """Parts of the batches of at most about ``most`` bytes of text (or one row), with the text column, null as empty."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20, tokens: bool = False) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Parts of the batches of at most about ``most`` bytes of text (or one row), with the text column, null as empty.
+
+    Workers are reused: a task that makes no ``tokens`` lets go of the unit caches that an earlier one has left.
+    """
+    if not tokens and (module := sys.modules.get("starload.llm.tokens")):
+        module.encoder.cache_clear()
     for batch in batches:
         text = pc.fill_null(batch.column(column), "").cast(pa.large_string())
         sizes = pc.binary_length(text).to_numpy(zero_copy_only=False)

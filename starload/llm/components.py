@@ -15,8 +15,9 @@ from starload.llm.common import staged
 def _step(e: DataFrame) -> DataFrame:
     both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(e.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m"))
-    large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
-    low = large.groupBy("hi").agg(F.min("lo").alias("m"))
+    large = both.where("v > u").join(staged(least, "least"), "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+    large = staged(large, "large-star")
+    low = staged(large.groupBy("hi").agg(F.min("lo").alias("m")), "low")
     small = large.join(low, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
     return small.unionByName(low.select("hi", F.col("m").alias("lo"))).distinct()
 

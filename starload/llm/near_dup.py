@@ -284,6 +284,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFr
     roots = staged(connected(links, "a", "b"), "roots")
     rooted = members.join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     mixed = rooted.groupBy("list_key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("list_key")
+    mixed = staged(mixed, "mixed")
     again = dealt(rooted.join(mixed, "list_key").join(classes.select("digest", "n_shingles", "registers"), "digest"))
     concerned = staged(again.mapInArrow(_concerned(percent / 100), again.schema), "concerned")
     if not concerned.isEmpty():
@@ -291,7 +292,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFr
         more = dealt(concerned.join(items, "digest")).mapInArrow(_joining(percent / 100, percent), pair)
         roots = staged(connected(links.unionByName(more), "a", "b"), "roots")
     named = classes.select("digest", "low").join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-    least = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    least = staged(named.groupBy("root").agg(F.min("low").alias("component_id")), "least")
     of_class = named.join(least, "root").select("digest", "component_id", F.col("root").alias("group"))
     out = sets.select("doc_id", "text_hash", "n_shingles", "digest").join(of_class, "digest", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))

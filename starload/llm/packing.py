@@ -75,7 +75,7 @@ def _headers(path: str, end_id: int, capacity: int, groups: int, seed: int):
 
         encode = encoder(path).encode
         draw = np.random.default_rng([seed, TaskContext.get().partitionId()])
-        for batch, text in slices(batches, "text"):
+        for batch, text in slices(batches, "text", tokens=True):
             rows: list[tuple] = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(text.to_pylist()), strict=True):
                 ids += end

@@ -4,7 +4,8 @@ Comparing every document with an index of every shard would grow with the square
 to one shard by its content: its minimizer, the least hash of the ``GRAM``-word grams in it. Consecutive windows with the
 same minimizer occurrence are one segment. Equal windows have equal minimizers, so they meet in one shard.
 
-1. Segments (a few dozen bytes each, without text) are counted by minimizer. One met once holds no repeated window; one
+1. Segments (a few dozen bytes each, without text; a run of equal ones, as in text that repeats itself, is one row) are
+   counted by minimizer. One met once holds no repeated window; one
    whose segments are all equal holds only repeated ones.
 2. Of the rest, one representative of each distinct segment brings its words to its shard. A shard is indexed in parts of
    whole minimizers and bounded size (``PART_ROWS``): wavelet-matrix FM-index, backward search from each window's end, matching
@@ -39,7 +40,7 @@ PART_ROWS = 16_384
 MOST = 50_000
 _POSITION_BITS = 24
 _SPAN = 1 << 22
-SEGMENTS = "doc_id long, text_hash long, start int, n_windows int, key long, segment long"
+SEGMENTS = "doc_id long, text_hash long, start int, n_windows int, runs int, key long, segment long"
 
 
 def segments(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
@@ -79,13 +80,18 @@ def _segments(size: int):
             w = words_of(text)
             row, start, number, key = segments(w.hash, w.first, size)
             whole = span_hash(w.hash, start, start + number + size - 1, number)
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + number[:-1]) | (key[1:] != key[:-1]) | (whole[1:] != whole[:-1]) | (number[1:] != number[:-1])
+            begin = np.flatnonzero(new)
+            runs = np.diff(np.append(begin, len(row)))
+            row, start, number, key, whole = row[begin], start[begin], number[begin], key[begin], whole[begin]
             at = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()).take(at), batch.column("text_hash").take(at), pa.array((start - w.first[row]).astype(np.int32)),
-                    pa.array(number.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(whole.view(np.int64)),
+                    pa.array(number.astype(np.int32)), pa.array(runs.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(whole.view(np.int64)),
                 ],
-                names=["doc_id", "text_hash", "start", "n_windows", "key", "segment"],
+                names=["doc_id", "text_hash", "start", "n_windows", "runs", "key", "segment"],
             )
 
     return run
@@ -201,7 +207,8 @@ def _cut(size: int, texts: bool):
                 total = len(words)
                 gone = np.zeros(total + 1, np.int32)
                 for m in marks or []:
-                    at = m["start"] + np.flatnonzero(np.uint64(m["mask"] & (1 << 64) - 1) >> np.arange(64, dtype=np.uint64) & np.uint64(1))
+                    bits = np.flatnonzero(np.uint64(m["mask"] & (1 << 64) - 1) >> np.arange(64, dtype=np.uint64) & np.uint64(1))
+                    at = (m["start"] + m["n_windows"] * np.arange(m["runs"])[:, None] + bits).ravel()
                     np.add.at(gone, at, 1)
                     np.add.at(gone, at + size, -1)
                 covered = np.cumsum(gone[:-1]) > 0
@@ -240,11 +247,12 @@ def remove_repeats(docs: DataFrame, size: int = 35, texts: bool = True, carry: b
     prepare(docs.sparkSession)
     rows = text_rows(docs)
     found = staged(rows.mapInArrow(_segments(size), SEGMENTS), "segments")
-    keys = found.groupBy("key").agg(F.count("*").alias("total"), F.min("segment").alias("low"), F.max("segment").alias("high")).where("total > 1")
-    repeated = staged(found.join(keys.select("key", (F.col("low") != F.col("high")).alias("mixed")), "key"), "repeated")
-    distinct = repeated.where("mixed").groupBy("key", "segment").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "text_hash", "start", "n_windows")).alias("rep"))
+    keys = found.groupBy("key").agg(F.sum("runs").alias("total"), F.min("segment").alias("low"), F.max("segment").alias("high")).where("total > 1")
+    keys = staged(keys.select("key", (F.col("low") != F.col("high")).alias("mixed")), "keys")
+    repeated = staged(found.join(keys, "key"), "repeated")
+    distinct = repeated.where("mixed").groupBy("key", "segment").agg(F.sum("runs").alias("copies"), F.min(F.struct("doc_id", "text_hash", "start", "n_windows")).alias("rep"))
     distinct = staged(distinct, "distinct")
-    per_key = distinct.groupBy("key").agg((F.count("*") > MOST).alias("hot"))
+    per_key = staged(distinct.groupBy("key").agg((F.count("*") > MOST).alias("hot")), "per-key")
     one = F.struct("key", "segment", "copies", F.col("rep.start").alias("start"), F.col("rep.n_windows").alias("n_windows"), "hot")
     asked = distinct.join(per_key, "key").groupBy(F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_hash").alias("rep_hash")).agg(F.collect_list(one).alias("asked"))
     texts_of = packed_rows(rows)
@@ -255,9 +263,10 @@ def remove_repeats(docs: DataFrame, size: int = 35, texts: bool = True, carry: b
     masks = shards.mapInArrow(_search(size), "key long, segment long, mask long")
     masks = masks.unionByName(_counted(words.where("hot"), size)).where("mask <> 0")
     every = F.expr("shiftleft(1L, n_windows) - 1")
-    marks = repeated.where("not mixed").select("doc_id", "text_hash", "start", every.alias("mask"))
-    marks = marks.unionByName(repeated.where("mixed").join(masks, ["key", "segment"]).select("doc_id", "text_hash", "start", "mask"))
-    per_doc = marks.distinct().groupBy(F.col("doc_id").alias("rep_id"), F.col("text_hash").alias("rep_hash")).agg(F.collect_list(F.struct("start", "mask")).alias("marks"))
+    place = ["doc_id", "text_hash", "start", "n_windows", "runs"]
+    marks = repeated.where("not mixed").select(*place, every.alias("mask"))
+    marks = marks.unionByName(repeated.where("mixed").join(masks, ["key", "segment"]).select(*place, "mask"))
+    per_doc = marks.distinct().groupBy(F.col("doc_id").alias("rep_id"), F.col("text_hash").alias("rep_hash")).agg(F.collect_list(F.struct("start", "n_windows", "runs", "mask")).alias("marks"))
     schema = T.StructType([f for f in whole.schema if f.name != "packed"])
     for name, kind in CUT:
         schema = schema.add(name, T._parse_datatype_string(kind))

@@ -152,7 +152,7 @@ class Tree:
 def _counts(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
-        for batch, text in slices(batches, "text"):
+        for batch, text in slices(batches, "text", tokens=True):
             rows = []
             for doc_id, t, edits in zip(batch.column("doc_id").to_pylist(), text.to_pylist(), batch.column("edits").to_pylist(), strict=True):
                 encode.units.turn()

@@ -47,7 +47,7 @@ def _images(path: str, end_id: int, image_ids: int):
                 names=["part", "image", "n_docs", "n_ids", "bytes"],
             )
 
-        for batch, text in slices(batches, "text"):
+        for batch, text in slices(batches, "text", tokens=True):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(text.to_pylist()), strict=True):
                 doc_ids.append(doc_id)
                 parts.append(ids + end)
