@@ -99,6 +99,15 @@ class QualityModel:
         return np.clip(np.where((total > 1e-12) & (norm[:, 0] > 1e-9), vote, self.share), 0, 1)
 
 
+def leading_axes(x: np.ndarray, rank: int) -> np.ndarray:
+    """The leading right singular vectors, by subspace iteration: little more memory than ``x`` itself."""
+    q = np.random.default_rng(7).standard_normal((x.shape[1], min(rank + 16, x.shape[1]))).astype(np.float32)
+    for _ in range(20):
+        q = np.linalg.qr(x.T @ (x @ q))[0]
+    _, _, v = np.linalg.svd(x @ q, full_matrices=False)
+    return (q @ v.T)[:, :rank].astype(np.float32)
+
+
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, text in slices(batches, "text"):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("label").cast(pa.float64()), pa.array([r.tobytes() for r in terms(text)], pa.binary())], names=["doc_id", "label", "terms"])
@@ -120,10 +129,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rank: int = RA
     y = np.array([r.label for r in rows], np.float64)
     if not rows:
         return QualityModel(np.zeros((WIDTH, 1), np.float32), np.zeros((0, 1), np.float32), y, 0.5)
-    x = scaled(np.frombuffer(b"".join(r.terms for r in rows), np.float32).reshape(len(rows), WIDTH))
-    gram = x.T.astype(np.float64) @ x
-    _, vectors = np.linalg.eigh(gram)
-    axes = vectors[:, ::-1][:, :rank].astype(np.float32)
+    x = np.empty((len(rows), WIDTH), np.float32)
+    for i in range(len(rows)):
+        x[i] = scaled(np.frombuffer(rows[i].terms, np.float32)[None])[0]
+        rows[i] = None
+    axes = leading_axes(x, rank)
     points = x @ axes
     points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-9)
     return QualityModel(axes, points.astype(np.float32), y, float(y.mean()))
