@@ -1,4 +1,5 @@
-"""Benchmark passages in documents: SimHash of item-sized windows, multi-index Hamming search, exact verification.
+"""Benchmark passages in documents: SimHash of item-sized windows, multi-index Hamming search, exact verification, and an
+index of shingles for the near copies that the fingerprints miss.
 
 1. An item of L words has fingerprints of all its windows of W words, W being a size near 0.8 L (sizes grow by a fifth, so
    there are few); a document has fingerprints of its windows of each size W at every (L - W + 1)-th word for the least such
@@ -8,6 +9,12 @@
    a block with at most one bit wrong, so none is missed.
 3. The document's words where the item would lie, up to ``SHIFT`` words to either side, are compared with it exactly: the
    shared weight of the five-word shingles over the weight of both, a shingle weighing its words' bytes.
+4. The fingerprints alone promise whole copies only: a copy that the text's end cuts off, or with words changed inside
+   the window that is looked up, may have none within the radius. So of each item the shingles that fewest items hold, of
+   together more than 1 - threshold of its weight, are looked up at every word: a place without any of them shares too
+   little weight. Where one is, every place that lines up with a shared shingle and whose shared weight may suffice is
+   compared as in 3. With both, all places of the threshold that line up within ``SHIFT`` words with a shared shingle are
+   found, cut off or not.
 
 Items are taken in blocks of bounded number and bytes; a block goes to every task, and each document meets every block.
 A document's matches come from one task, without a shuffle.
@@ -20,6 +27,7 @@ matches; other columns are ignored (``without_leaks`` keeps them).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -89,9 +97,10 @@ def weighted_similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
 class Items:
     """The fingerprints of a block of items by window size, with the four block indexes."""
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
+    def __init__(self, items: list[tuple[int, str]], threshold: float = 0.8) -> None:
+        self.threshold = threshold
         w = words_of(pa.array([t for _, t in items], pa.large_string()), lower=True)
-        self.ids, self.shingles, self.length = [], [], []
+        self.ids, self.shingles, self.length, self.order = [], [], [], []
         by_size: dict[int, list[tuple[int, np.ndarray]]] = {}
         stride: dict[int, int] = {}
         for (item_id, _), a, b in zip(items, w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
@@ -105,6 +114,8 @@ class Items:
             self.ids.append(item_id)
             self.length.append(n)
             self.shingles.append(weighted_shingles(w.hash[a:b], (w.end - w.start)[a:b]))
+            self.order.append(windows(w.hash[a:b], min(SHINGLE, n)))
+        self._index_shingles()
         self.sizes = []
         for size, parts in sorted(by_size.items()):
             prints = np.concatenate([p for _, p in parts])
@@ -113,6 +124,72 @@ class Items:
             self.sizes.append((size, stride[size], prints, item, offset, [_near_values(prints, k) for k in range(4)]))
         self.most = max((s for s, *_ in self.sizes), default=0)
 
+    def _index_shingles(self) -> None:
+        """Each item's shingles that fewest items hold, as many as any place of the threshold must share one of."""
+        held, count = np.unique(np.concatenate([np.zeros(0, np.uint64), *(s for s, _ in self.shingles)]), return_counts=True)
+        key, who = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for i, (s, weight) in enumerate(self.shingles):
+            if self.length[i] < SHINGLE:  # one shingle, the whole item: a whole copy or none, which the fingerprints find
+                continue
+            order = np.argsort(count[np.searchsorted(held, s)], kind="stable")
+            total = weight.sum()
+            n = min(len(s), 1 + int(np.count_nonzero((total - np.cumsum(weight[order])) / total >= self.threshold)))
+            key.append(s[order[:n]])
+            who.append(np.full(n, i))
+        keys, self.holder = np.concatenate(key), np.concatenate(who)
+        order = np.argsort(keys, kind="stable")
+        self.keys, first = np.unique(keys[order], return_index=True)
+        self.holder, self.held = self.holder[order], np.append(first, len(order))
+
+    def shared(self, hashes: np.ndarray, sizes: np.ndarray, first: np.ndarray) -> Iterator[np.ndarray]:
+        """(item, where it would start, row) of the places that line up with a shared shingle and may reach the threshold."""
+        all_of = windows(hashes, SHINGLE)
+        if not len(all_of) or not len(self.keys):
+            return
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        weight = total[SHINGLE:] - total[:-SHINGLE]
+        k = np.searchsorted(self.keys, all_of)
+        k[k == len(self.keys)] = 0
+        hit = np.flatnonzero(self.keys[k] == all_of)
+        row = np.searchsorted(first, hit, side="right") - 1
+        whole = hit + SHINGLE <= first[row + 1]
+        hit, row = hit[whole], row[whole]
+        n = self.held[k[hit] + 1] - self.held[k[hit]]
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        item = self.holder[np.repeat(self.held[k[hit]], n) + place]
+        hit, row = np.repeat(hit, n), np.repeat(row, n)
+        order = np.lexsort((hit, item, row))
+        hit, row, item = hit[order], row[order], item[order]
+        length = np.array(self.length)
+        # hits of a row and item that are too far apart for one place are looked at apart
+        cut = (np.diff(row) != 0) | (np.diff(item) != 0) | (np.diff(hit) > 3 * length[item[1:]])
+        bounds = np.concatenate([[0], np.flatnonzero(cut) + 1, [len(hit)]]) if len(hit) else np.zeros(1, np.int64)
+        for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            starts = self._starts(int(item[x]), all_of, weight, int(first[row[x]]), int(first[row[x] + 1]), int(hit[x]), int(hit[y - 1]))
+            if len(starts):
+                yield np.stack([np.full(len(starts), item[x]), starts, np.full(len(starts), row[x])])
+
+    def _starts(self, item: int, all_of: np.ndarray, weight: np.ndarray, begin: int, end: int, low: int, high: int) -> np.ndarray:
+        """Where the item would start by the shingles it shares with the row ``begin:end`` around the words ``low`` to ``high``."""
+        n, (s, mine) = self.length[item], self.shingles[item]
+        a, b = max(begin, low - n - SHIFT), min(end - SHINGLE + 1, high + n + SHIFT + 1)
+        near = all_of[a:b]
+        k = np.searchsorted(s, near)
+        k[k == len(s)] = 0
+        same = s[k] == near
+        both = np.concatenate([[0], np.cumsum(np.where(same, weight[a:b], 0))])
+        # offsets of each of the item's shingles, once for each place of the row that has it
+        order = np.argsort(self.order[item], kind="stable")
+        bound = np.searchsorted(self.order[item][order], s), np.searchsorted(self.order[item][order], s, side="right")
+        at = np.flatnonzero(same)
+        count = bound[1][k[at]] - bound[0][k[at]]
+        place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        starts = np.unique(np.repeat(at + a, count) - order[np.repeat(bound[0][k[at]], count) + place])
+        # the shared weight of a place is at most that of its words' shingles that the item has
+        shifted = starts[:, None] + np.arange(-SHIFT, SHIFT + 1)
+        left, right = np.clip(shifted - a, 0, b - a), np.clip(shifted + n - SHINGLE + 1 - a, 0, b - a)
+        return starts[((both[np.maximum(left, right)] - both[left]) / mine.sum() >= self.threshold).any(axis=1)]
+
     def candidates(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[np.ndarray]:
         """(item, where it would start, row) of every window within the radius of a fingerprint."""
         end = np.repeat(first[1:], np.diff(first))
@@ -146,7 +223,7 @@ class Items:
         bytes_of = w.end - w.start
         best: dict[tuple[int, int], tuple[float, int]] = {}
         done: set[tuple[int, int, int]] = set()
-        for found in self.candidates(w.hash, w.first):
+        for found in chain(self.candidates(w.hash, w.first), self.shared(w.hash, bytes_of, w.first)):
             for item, start, row in found.T.tolist():
                 n = self.length[item]
                 for at in range(start - SHIFT, start + SHIFT + 1):
@@ -185,7 +262,7 @@ def item_blocks(benchmark: DataFrame) -> list[list[tuple[int, str]]]:
 
 def _matches(items: list[tuple[int, str]], threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Items(items)
+        index = Items(items, threshold)
         for batch, text in slices(batches, "text", 1 << 20):
             found = index.matches(text, threshold)
             if found:
@@ -201,7 +278,7 @@ def _matches(items: list[tuple[int, str]], threshold: float):
 
 def _clean(items: list[tuple[int, str]], threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Items(items)
+        index = Items(items, threshold)
         for batch, text in slices(batches, "text", 1 << 20):
             keep = np.ones(batch.num_rows, bool)
             keep[[m[0] for m in index.matches(text, threshold)]] = False

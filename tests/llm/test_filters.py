@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starload.llm import decontamination, quality
-from starload.llm.decontamination import Items, Running, leaks, weighted_shingles, weighted_similarity, window_size, without_leaks
+from starload.llm.decontamination import SHINGLE, Items, Running, leaks, weighted_shingles, weighted_similarity, window_size, without_leaks
 from starload.llm.quality import fit, good_documents, score, terms
 from starload.llm.words import words_of
 
@@ -103,6 +103,38 @@ def test_matches_give_places():
     assert index.matches(text, 0.8) == [(1, 5, 1.0, 2, 13)]
 
 
+def test_cut_off_and_changed_copies_are_all_found():
+    """Every place of the threshold, windows cut by the text's ends included, whatever the phase of the fingerprints."""
+    rng = random.Random(11)
+    own = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    items = [(i, " ".join(own(n))) for i, n in enumerate([9, 12, 20, 20, 35, 50, 50, 55, 55, 59] * 4)]
+    texts = []
+    for k in range(600):
+        item = items[k % 40][1].split()
+        n = len(item)
+        kept = max(SHINGLE, -(-n * (81 + k % 20) // 100))
+        if k % 3 == 0:  # cut off by the document's end, or its start
+            texts.append(own(rng.randrange(40)) + item[:kept] if k % 2 else item[n - kept :] + own(rng.randrange(40)))
+        elif k % 3 == 1:  # nothing but a cut-off item
+            texts.append(item[:kept] if k % 2 else item[n - kept :])
+        else:  # a changed word, a lost one or one more, anywhere
+            at = rng.randrange(n)
+            item[at : at + rng.randrange(2)] = own(rng.randrange(2))
+            texts.append(own(rng.randrange(60)) + item + own(rng.randrange(60)))
+    want = set()
+    ws = [words_of(pa.array([i], pa.large_string()), lower=True) for _, i in items]
+    mine = [weighted_shingles(w.hash, w.end - w.start) for w in ws]
+    for k, t in enumerate(texts):
+        d = words_of(pa.array([" ".join(t)], pa.large_string()), lower=True)
+        i, n = k % 40, len(ws[k % 40].hash)
+        spans = {(max(0, a), min(len(t), a + n)) for a in range(1 - n, len(t))}
+        if any(weighted_similarity(mine[i], weighted_shingles(d.hash[a:b], (d.end - d.start)[a:b])) >= 0.8 for a, b in spans):
+            want.add((k, i))
+    assert len(want) > 300
+    found = {m[:2] for m in Items(items).matches(pa.array([" ".join(t) for t in texts], pa.large_string()), 0.8)}
+    assert found == want
+
+
 LABELS = "doc_id long, quality int, toxic int, label string"
 
 
