@@ -1,8 +1,8 @@
 """Edit-aware token counts: a segment tree of pre-token counts per document, of which an edit touches only a part.
 
 The leaves of a document's tree are its pre-tokens (the vocabulary's own pattern): their lengths in characters and in
-ids; inner nodes hold both sums. The pattern looks back at nothing and ahead by one character, so an edit can change no
-pre-token that ends before the character in front of it, and once the new scan meets an old boundary behind the edit,
+ids; inner nodes hold both sums. The pattern looks back at nothing and ahead by two characters at most ('re, 've and 'll,
+and white space before a word), so an edit can change no pre-token that ends two characters before it, and once the new scan meets an old boundary behind the edit,
 everything after is as it was. So an edit descends the tree to its leaves, scans and encodes again from the last safe
 boundary to the first common one, and adds the difference of the sums along the path, instead of encoding the text again.
 
@@ -94,8 +94,8 @@ class Tree:
         if not self.chunks:
             self.__init_again()
             return
-        # the first leaf that ends at the edit or later has looked at what changes
-        chunk, leaf, at = self._find(max(0, position - 1))
+        # a leaf that ends one character before the edit or later may have looked at what changes
+        chunk, leaf, at = self._find(max(0, position - 2))
         stop, shift = position + removed, len(inserted) - removed
         last, k, end = chunk, leaf, at
         fresh: list[tuple[int, int]] = []

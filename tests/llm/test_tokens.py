@@ -59,6 +59,18 @@ def test_tree_edits_equal_a_new_tree(text, edits):
     assert [x for c in tree.chunks for x in c] == [x for c in fresh.chunks for x in c]
 
 
+@pytest.mark.parametrize(
+    "text, edit",
+    [("we'r here", (4, 0, "e")), ("we'v here", (4, 0, "e")), ("we'l here", (4, 0, "l")), ("we'rxxe here", (4, 2, "")), ("we're here", (4, 1, "")), ("a   x", (4, 0, " ")), ("a   x", (4, 1, " "))],
+)
+def test_edits_two_characters_behind_a_boundary(text, edit):
+    e = encoder(vocabulary_path())
+    tree = token_counts.Tree(text, e)
+    tree.edit(*edit)
+    fresh = token_counts.Tree(tree.text, e)
+    assert [x for c in tree.chunks for x in c] == [x for c in fresh.chunks for x in c]
+
+
 def test_an_edit_encodes_a_few_leaves_only():
     tree = token_counts.Tree("some words here and " * 2000, encoder(vocabulary_path()))
     tree.edit(20_000, 3, "xyz")
