@@ -26,7 +26,10 @@ FEATURES = ("aside", "main", "page_has_main", "heading", "words", "link_density"
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|[\s\"'])hidden(?=\s|=|/|$)|display\s*:\s*none", re.I)
+ANY_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
+#: In a class such as has-sidebar or post-with-comments, what follows one of these words tells of the page, not of the element.
+STATE = re.compile(r"(?<![a-z0-9])(?:has|with|no|without)(?![a-z0-9]).*", re.S)
 PART = re.compile(r"[a-z]+|[0-9]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -41,8 +44,13 @@ class Block:
     link_words: int
 
 
-def _context(name: str, attributes: str, in_main: bool) -> tuple[bool, bool]:
-    """(is set aside, is main) by the element itself."""
+def _hidden(attributes: str) -> bool:
+    """By the attribute of that name or the style; other attributes' values hide nothing."""
+    return any(k.lower() == "hidden" or k.lower() == "style" and NOT_SHOWN.search(html.unescape(v)) for k, v in ANY_ATTRIBUTE.findall(attributes))
+
+
+def _context(name: str, attributes: str, in_main: bool, wrapper: bool = False) -> tuple[bool, bool, bool]:
+    """(is set aside, by words of class and id alone, is main) by the element itself; the words set no ``wrapper`` aside."""
     words: set[str] = set()
     aside, main = name in ASIDE and not (name == "header" and in_main), name in MAIN
     for kind, *values in ATTRIBUTE.findall(attributes):
@@ -51,20 +59,33 @@ def _context(name: str, attributes: str, in_main: bool) -> tuple[bool, bool]:
             aside |= value.strip().lower() in ASIDE_ROLES
             main |= value.strip().lower() in MAIN
         else:
-            words.update(PART.findall(CAMEL.sub(" ", value).lower()))
+            for one in value.split():
+                words.update(PART.findall(STATE.sub("", CAMEL.sub(" ", one).lower())))
     if in_main:
         words.discard("header")
-    aside |= bool(words & ASIDE_WORDS) or any(w.endswith(ASIDE_ENDINGS) for w in words)
-    aside |= bool(HIDDEN.search(attributes))
-    return aside, main or (not aside and name != "body" and bool(words & MAIN_WORDS))
+    aside |= _hidden(attributes)
+    by_words = not aside and not wrapper and name not in ("html", "body") and (bool(words & ASIDE_WORDS) or any(w.endswith(ASIDE_ENDINGS) for w in words))
+    aside |= by_words
+    return aside, by_words, main or (not aside and name != "body" and bool(words & MAIN_WORDS))
 
 
 def blocks(page: str) -> list[Block]:
-    """Text between block-level tags in page order, white space made one space, references decoded. Tolerates bad markup."""
+    """Text between block-level tags in page order, white space made one space, references decoded. Tolerates bad markup.
+
+    An element whose class or id has a word of a side part, but that holds the page's article or main element, is a wrapper
+    and no side part. Where the page has a main part outside of all side parts, articles in side parts are teasers and the like.
+    """
+    out, wrappers = _parse(page, frozenset())
+    return _parse(page, wrappers)[0] if wrappers else out
+
+
+def _parse(page: str, wrappers: frozenset[int]) -> tuple[list[Block], frozenset[int]]:
+    """The blocks, and where the start tags end that are wrappers, unless given."""
     out: list[Block] = []
+    held: list[tuple[bool, frozenset[int]]] = []  # of each article or main element: is main, the elements set aside by words around it
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, set aside, main, heading
+    stack: list[tuple[str, bool, bool, bool, int, bool]] = []  # name, set aside, main, heading, its place if by words, otherwise set aside by itself
     depth_a = 0
     context = (False, False, False)
 
@@ -102,7 +123,7 @@ def blocks(page: str) -> list[Block]:
                 if any(s[0] not in INLINE or s[1] for s in stack[k:]):
                     close()
                 del stack[k:]
-                context = stack[-1][1:] if stack else (False, False, False)
+                context = stack[-1][1:4] if stack else (False, False, False)
             continue
         if name in RAW and not m[0].endswith("/>"):
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
@@ -116,18 +137,24 @@ def blocks(page: str) -> list[Block]:
                 k = max(i for i, s in enumerate(stack) if s[0] == "p")
                 if all(s[0] in INLINE for s in stack[k + 1 :]):
                     del stack[k:]
-                    context = stack[-1][1:] if stack else (False, False, False)
+                    context = stack[-1][1:4] if stack else (False, False, False)
         if name in VOID:
             continue
-        aside, main = _context(name, m[3], context[1])
+        aside, by_words, main = _context(name, m[3], context[1], at in wrappers)
+        if name in MAIN and not aside and not any(s[5] for s in stack):
+            held.append((name == "main", frozenset(s[4] for s in stack if s[4] >= 0)))
         if aside:
             close()
         if name == "a":
             depth_a += 1
         context = (context[0] or aside, context[1] or main, context[2] or bool(re.fullmatch("h[1-6]", name)))
-        stack.append((name, *context))
+        stack.append((name, *context, at if by_words else -1, aside and not by_words))
     close()
-    return out
+    if any(not around for _, around in held) or any(b.main and not b.aside and not b.heading for b in out):
+        return out, frozenset()
+    mains = [around for is_main, around in held if is_main] or [around for _, around in held]
+    least = min(map(len, mains), default=0)
+    return out, frozenset().union(*(around for around in mains if len(around) == least))
 
 
 def features(found: list[Block]) -> np.ndarray:

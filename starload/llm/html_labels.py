@@ -25,6 +25,12 @@ PAGES = [
     f'<div>-A word before all: the office stays closed on Monday, and letters will be read on the day after that.</div><article><p>+One.</p><p>{_MID}</p><p>+Two words.</p></article><div>-The next paper comes out on Friday with the plan of the new harbour as a large map for the wall.</div><div>-Bye.</div>',
 ]
 
+# Wrappers whose class has a word of a side part.
+PAGES += [
+    f'<body class="has-sidebar"><article><h1>+Tower</h1><p>{_LONG}</p><p>+Tall.</p></article><aside><p>-Most read this week: the winter, the price of salt and the new bridge over the river.</p></aside></body>',
+    f'<div id="page" class="header-fixed"><main><p>{_MID}</p><p>+So.</p><p>{_LINKED}</p></main><div class="comments"><p>-I was there and saw it all, and it was just as the paper says it was.</p></div></div>',
+]
+
 # Every kind of side part, with texts of every length, in pages with and without a main part.
 _PLAIN = ["Two words.", "A line of about eight words and no more.", "A longer text of some twenty words which says one thing and then another, as notes at the side of a page do.",
           "A very long text, of forty words or more, that could be part of a story by its length alone: it tells of the weather, the roads, the price of fish, and of those who came home late in the week, as the paper has always done, since it began."]

@@ -24,6 +24,33 @@ def test_blocks_of_bad_markup():
     assert text("x < y and 1<2") == ["x < y and 1<2"] and text("<ul><li>a<li>b</ul>c") == ["a", "b", "c"]
 
 
+_STORY = "<article><h1>Title</h1><p>Short.</p><p>A second one with some more words in it.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<body class="has-sidebar">{_STORY}</body>',
+        f'<html class="no-search"><body class="header-fixed comments-open">{_STORY}</body></html>',
+        f'<div id="page" class="header-fixed">{_STORY}<div class="related"><article><p>A card on another story, with a number of words in it.</p></article></div></div>',
+        f'<div class="post-with-comments">{_STORY}<div class="comments"><p>First! What a fine story this was to read in the train today.</p></div></div>',
+        f'<div class="social-wrap"><div class="menu-open">{_STORY}</div></div>',
+        f'<div class="hidden md:block" title="not hidden here">{_STORY}</div>',
+        f'{_STORY}<div class="sidebar"><article><p>A card on another story, with a number of words in it.</p></article></div>',
+        f'{_STORY}<div hidden><article><p>A part that no reader sees, with a number of words in it.</p></article></div>',
+    ],
+)
+def test_wrappers_are_no_side_parts(tree, page):
+    assert main_text(tree, page) == "Title Short. A second one with some more words in it."
+    assert [b.text for b in blocks(page) if b.main and not b.aside] == ["Title", "Short.", "A second one with some more words in it."]
+
+
+def test_state_words_in_classes(tree):
+    text = "In a plain page without any article element, this text has a number of words that a menu has not, and so it is kept."
+    assert main_text(tree, f'<div class="post-with-comments"><p>{text}</p><p>{text}</p></div>') == f"{text} {text}"
+    assert all(b.aside for b in blocks(f'<div class="post-comments"><p>{text}</p></div><p style="display:none">{text}</p>'))
+
+
 def test_tree_learns_its_labels(spark, tree):
     rows = labelled(spark, PAGES).collect()
     assert len(rows) > 200
