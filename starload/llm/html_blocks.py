@@ -9,9 +9,12 @@ from dataclasses import dataclass
 import numpy as np
 
 # Element names and words of the HTML standard and of common class names.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd mark nobr q ruby rt rp s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd mark nobr q ruby rt rp s samp small span strike strong sub sup time tt u var wbr math svg object audio video canvas "
+    "mi mo mn ms mtext mspace mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle semantics g path circle rect line polygon polyline ellipse text tspan use defs".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe xmp select svg math object audio video canvas".split())
+RAW = frozenset("script style template textarea title iframe select".split())
 ASIDE = frozenset("nav footer aside form menu dialog button header".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form toolbar".split())
 ASIDE_WORDS = frozenset(
@@ -86,6 +89,7 @@ def _parse(page: str, wrappers: frozenset[int]) -> tuple[list[Block], frozenset[
     parts: list[str] = []
     linked: list[str] = []
     stack: list[tuple[str, bool, bool, bool, int, bool]] = []  # name, set aside, main, heading, its place if by words, otherwise set aside by itself
+    unclosed: set[str] = set()  # names of which no end tag follows
     depth_a = 0
     context = (False, False, False)
 
@@ -126,8 +130,10 @@ def _parse(page: str, wrappers: frozenset[int]) -> tuple[list[Block], frozenset[
                 context = stack[-1][1:4] if stack else (False, False, False)
             continue
         if name in RAW and not m[0].endswith("/>"):
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-            at = end.end() if end else n
+            end = None if name in unclosed else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            if end is None:
+                unclosed.add(name)
+            at = end.end() if end else n if name in ("script", "style") else at
             if name not in INLINE:
                 close()
             continue

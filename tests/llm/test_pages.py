@@ -51,6 +51,15 @@ def test_state_words_in_classes(tree):
     assert all(b.aside for b in blocks(f'<div class="post-comments"><p>{text}</p></div><p style="display:none">{text}</p>'))
 
 
+def test_only_scripts_styles_and_forms_are_dropped():
+    text = lambda page: [b.text for b in blocks(page)]
+    assert text("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> and <object>a fallback</object> on</p>") == ["so x=1 and a fallback on"]
+    assert text("<noscript><p>one</p></noscript><xmp>two</xmp><video>three</video>") == ["one", "two", "three"]
+    assert text("<p>a <svg><path d='x'> b</p><p>c</p>") == ["a b", "c"] and text("<object><p>d</p>") == ["d"]
+    assert text("<iframe src=x><p>e</p><textarea><p>f</p>") == ["e", "f"] and text("<p>g</p><script>h <p>i</p>") == ["g"]
+    assert text("<select><option>j</select><template><p>k</p></template><svg><style>l{}</style></svg>m") == ["m"]
+
+
 def test_tree_learns_its_labels(spark, tree):
     rows = labelled(spark, PAGES).collect()
     assert len(rows) > 200
