@@ -1,6 +1,6 @@
 """A compressed FM-index over words: the Burrows-Wheeler transform in a wavelet matrix of packed bits with rank counts.
 
-Suffixes are sorted by their first ``DEPTH`` symbols, which is enough for patterns shorter than that. All searches run
+Suffixes are sorted by their first ``DEPTH`` symbols, or more on demand, which is enough for patterns up to that. All searches run
 in step for many queries at once.
 """
 
@@ -33,9 +33,9 @@ class Bits:
 class FMIndex:
     """``symbols``: integers from 0 (a separator, never searched) to ``size`` - 1."""
 
-    def __init__(self, symbols: np.ndarray, size: int) -> None:
+    def __init__(self, symbols: np.ndarray, size: int, depth: int = DEPTH) -> None:
         n = len(symbols)
-        order = suffixes(symbols)
+        order = suffixes(symbols, depth)
         bwt = symbols[order - 1]
         counts = np.bincount(symbols, minlength=size)
         self.n = n
@@ -63,12 +63,12 @@ class FMIndex:
         return both[: len(symbol)] + base, both[len(symbol) :] + base
 
 
-def suffixes(symbols: np.ndarray) -> np.ndarray:
-    """Positions in the order of the suffixes' first ``DEPTH`` symbols, by prefix doubling."""
+def suffixes(symbols: np.ndarray, depth: int = DEPTH) -> np.ndarray:
+    """Positions in the order of the suffixes' first ``depth`` symbols or more, by prefix doubling."""
     n = len(symbols)
     rank, k = symbols.astype(np.int64), 1
     order = np.argsort(rank, kind="stable")
-    while k < DEPTH:
+    while k < depth:
         key = rank * (n + 1)
         key[: n - k] += rank[k:] + 1
         order = np.argsort(key)

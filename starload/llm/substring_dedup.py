@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from starload.llm.blocks import whole_groups
 from starload.llm.common import prepare, slices, staged, text_rows
-from starload.llm.fm_index import FMIndex, repeated_windows
+from starload.llm.fm_index import DEPTH, FMIndex, repeated_windows
 from starload.llm.words import mix, span_hash, windows, words_of
 
 GRAM = 8
@@ -160,7 +160,7 @@ def _search(size: int):
             at = np.arange(len(number)) + row
             symbols[at] = number + 1
             start = w.first[:-1] + np.arange(rows)
-            index = FMIndex(symbols, int(symbols.max(initial=0)) + 1)
+            index = FMIndex(symbols, int(symbols.max(initial=0)) + 1, depth=max(DEPTH, int(counts.max(initial=0))))
             found = repeated_windows(index, symbols, start, start + counts, size)
             masks = _masks(found[at], row, place, rows)
             copies = table.column("copies").to_numpy() > 1

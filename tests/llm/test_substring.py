@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from starload.llm import substring_dedup
@@ -16,6 +17,29 @@ def test_suffix_order():
     assert [s[i:].tolist() for i in order] == sorted(s[i:].tolist() for i in range(len(s)))
 
 
+def test_segments_longer_than_the_sorted_depth(monkeypatch):
+    """Segments of windows of 70 words have up to 132 words; those here are alike for longer than the least depth."""
+    rng = np.random.default_rng(5)
+    one = [f"w{i}" for i in rng.integers(2, size=100)]
+    texts = [one + [f"x{i}"] + one[:75] for i in rng.permutation(12)] + [[f"y{i}", *one[1:]] for i in range(4)]
+    depths = []
+
+    class Seen(FMIndex):
+        def __init__(self, symbols, size, depth):
+            order = suffixes(symbols, depth)
+            want = sorted(tuple(symbols[i : i + 132].tolist()) for i in range(len(symbols)))
+            depths.append([tuple(symbols[i : i + 132].tolist()) for i in order] == want)
+            super().__init__(symbols, size, depth)
+
+    monkeypatch.setattr(substring_dedup, "FMIndex", Seen)
+    rows = [t[a : a + 132] for t in texts for a in (0, 20)]
+    batch = pa.record_batch({"key": pa.array([7] * len(rows)), "segment": pa.array(range(len(rows))), "copies": pa.array([1] * len(rows)), "hot": pa.array([False] * len(rows)), "words": pa.array([" ".join(r).encode() for r in rows], pa.binary())})
+    got = np.concatenate([b.column("mask").to_numpy() for b in substring_dedup._search(70)(iter([batch]))]).view(np.uint64)
+    count = Counter(tuple(r[i : i + 70]) for r in rows for i in range(len(r) - 69))
+    assert depths == [True]
+    assert got.tolist() == [sum(1 << i for i in range(len(r) - 69) if count[tuple(r[i : i + 70])] > 1) for r in rows]
+
+
 def test_repeated_windows_against_brute_force():
     rng = np.random.default_rng(1)
     for _ in range(60):
