@@ -18,7 +18,9 @@ from starload.llm.substring_dedup import remove_repeats
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts; it learns from the labelled ones of its own input, held-out fold aside."""
+    """Documents that the classifier accepts; it learns from the labelled ones of its own input, held-out fold aside.
+
+    Documents on which it has no evidence (no usable labels, no neighbour that votes) stay."""
     return good_documents(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 

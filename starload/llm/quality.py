@@ -86,8 +86,12 @@ class QualityModel:
     share: float
 
     def score(self, text: pa.Array) -> np.ndarray:
+        return self.judged(text)[0]
+
+    def judged(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The score of each text, and whether any neighbour voted: without, the score is the share and tells nothing of the text."""
         if not len(self.labels):
-            return np.full(len(text), self.share)
+            return np.full(len(text), self.share), np.zeros(len(text), bool)
         x = scaled(terms(text)) @ self.axes
         norm = np.linalg.norm(x, axis=1, keepdims=True)
         near = (x / np.maximum(norm, 1e-9)) @ self.vectors.T
@@ -96,7 +100,8 @@ class QualityModel:
         weight = np.maximum(np.take_along_axis(near, best, 1), 0).astype(np.float64) ** POWER
         total = weight.sum(axis=1)
         vote = (weight * self.labels[best]).sum(axis=1) / np.maximum(total, 1e-30)
-        return np.clip(np.where((total > 1e-12) & (norm[:, 0] > 1e-9), vote, self.share), 0, 1)
+        voted = (total > 1e-12) & (norm[:, 0] > 1e-9)
+        return np.clip(np.where(voted, vote, self.share), 0, 1), voted
 
 
 def leading_axes(x: np.ndarray, rank: int) -> np.ndarray:
@@ -152,8 +157,9 @@ def _scores(model, columns: list[str]):
 def _kept(model, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, text in slices(batches, "text"):
-            score = np.concatenate([model.value.score(text.slice(at, _ROWS)) for at in range(0, batch.num_rows, _ROWS)])
-            yield batch.filter(pa.array(score >= least))
+            for at in range(0, batch.num_rows, _ROWS):
+                score, voted = model.value.judged(text.slice(at, _ROWS))
+                yield batch.slice(at, _ROWS).filter(pa.array((score >= least) | ~voted))
 
     return run
 
@@ -168,6 +174,6 @@ def score(docs: DataFrame, model: QualityModel) -> DataFrame:
 
 
 def good_documents(docs: DataFrame, model: QualityModel, least: float = GOOD) -> DataFrame:
-    """The rows of ``docs``, unchanged, that score ``least`` or more."""
+    """The rows of ``docs``, unchanged, that score ``least`` or more, or of which the model knows nothing (no labels, no votes)."""
     prepare(docs.sparkSession)
     return docs.mapInArrow(_kept(docs.sparkSession.sparkContext.broadcast(model), least), docs.schema)

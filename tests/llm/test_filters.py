@@ -174,6 +174,15 @@ def test_quality_odd_rows(spark, docs_of):
     assert fit(docs_of([]), labelled).share == 0.5
 
 
+def test_documents_without_evidence_stay(spark, docs_of):
+    rows, labels = _toy()
+    none = fit(docs_of(rows), spark.createDataFrame([], LABELS))
+    assert good_documents(docs_of(rows), none).count() == len(rows)
+    bad = fit(docs_of(rows), spark.createDataFrame([(i, 0, t, x) for i, _, t, x in labels], LABELS))
+    assert bad.share == 0.0
+    assert sorted(str(r.text) for r in good_documents(docs_of([*rows[:4], (7, None), (8, "")]), bad).collect()) == ["", "None"]
+
+
 def test_held_out_labels_are_not_learnt(spark, docs_of):
     rows, labels = _toy()
     turned = [(i, 1 - q if zlib.crc32(str(i).encode()) % 4 == 2 else q, t, x) for i, q, t, x in labels]
