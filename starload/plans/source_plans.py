@@ -100,6 +100,25 @@ def csv_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv.read_raw(spark, root, specs.DEPARTMENTS, glob="*/part-*", multiline=True).select("id", "name")
 
 
+@register(
+    "csv_split_records",
+    oracle="""SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id,
+       'Emp "' || CAST(l_partkey AS VARCHAR) || '",' || chr(10) || CAST(l_shipdate AS VARCHAR) || CASE WHEN l_suppkey % 3 = 0 THEN chr(10) || chr(10) || ',"' ELSE '' END AS name,
+       CAST(l_quantity AS VARCHAR) AS datetime, CAST(l_suppkey AS VARCHAR) AS department_id, CAST(l_partkey AS VARCHAR) AS job_id
+FROM lineitem""",
+    ids=("S1", "S6"),
+)
+def csv_split_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as files whose names hold commas, doubled quotes and line breaks, with a header of another order. A file's
+    records are read by as many tasks as it has splits, and no task reads on beyond its own."""
+    text = lambda c: F.col(c).cast("string")
+    name = F.concat(F.lit('Emp ""'), text("l_partkey"), F.lit('"",\n'), text("l_shipdate"), F.when(F.col("l_suppkey") % 3 == 0, '\n\n,""').otherwise(""))
+    cells = [text("l_suppkey"), F.concat(F.lit('"'), name, F.lit('"')), text("l_quantity"), F.concat_ws("-", "l_orderkey", "l_linenumber"), text("l_partkey")]
+    root = scratch_path(spark, "csv-split")
+    _as_files(table(spark, sf_dir, "lineitem").select(F.concat_ws(",", *cells).alias("line")), root, 'department_id,name,"datetime", id ,job_id')
+    return csv.read_raw(spark, root, specs.HIRED_EMPLOYEES, glob="part-*", multiline=True).select(*specs.HIRED_EMPLOYEES.columns)
+
+
 @register(
     "backup_restore_roundtrip",
     oracle=f"SELECT {', '.join(_LINEITEM_COLS)} FROM lineitem",

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starload.sources.csv_records import Records
 from starload.specs import TableSpec, raw_schema
 
 POSITION = ("_src_file", "_block", "_row")
@@ -87,11 +88,13 @@ def read_raw(
     files are read by column *name*: those with the same header are read together with it as their
     schema, so another column order, padded names or extra columns are fine, and a missing column is
     null. Headerless files are read by position. Quotes are doubled inside quoted cells; with
-    ``multiline`` these may hold line breaks, and a file is then one task.
+    ``multiline`` these may hold line breaks, and files are still read in splits (``csv_records``).
     """
     files = list_files(spark, path, glob)
     if not files:
         return spark.createDataFrame([], _with_position(raw_schema(spec)))
+    if multiline:
+        return _read_records(spark, files, spec, header)
     groups: dict[tuple[str, ...] | None, list[str]] = {}
     if header is False:
         groups[None] = files
@@ -102,7 +105,7 @@ def read_raw(
             groups.setdefault(names, []).append(file)
     parts = []
     for names, group in groups.items():
-        source = spark.read.options(**_CSV_OPTIONS | {"multiLine": str(multiline).lower()}).option("header", str(names is not None).lower())
+        source = spark.read.options(**_CSV_OPTIONS).option("header", str(names is not None).lower())
         columns = (*spec.columns, "_extra") if names is None else names
         df = source.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).csv(group)
         missing = {c: F.lit(None).cast("string") for c in spec.columns if c not in columns}
@@ -115,6 +118,24 @@ def read_raw(
     return out
 
 
+def _read_records(spark: SparkSession, files: list[str], spec: TableSpec, header: bool | None) -> DataFrame:
+    """Records of all files in one pass, whatever their headers: each file's header says which cell goes to which column."""
+    records = Records(spark, files)
+    rows, width = [], len(spec.columns)
+    for file, (row, line) in sorted(records.openings().items()):
+        names = None if header is False else _cells(line) if header else header_names(line, spec.columns)
+        cells = [names.index(c) if c in names else None for c in spec.columns] if names else list(range(len(spec.columns)))
+        width = max(width, len(names or ()))
+        rows.append((file, row if names else None, cells))
+    headers = spark.createDataFrame(rows, "file string, header_row long, cells array<int>")  # one row per file, as the listing
+    parsed = F.from_csv("record", ", ".join(f"c{i} string" for i in range(width + 1)), _CSV_OPTIONS | {"multiLine": "true"})
+    found = records.frame().join(F.broadcast(headers), "file").where(~F.col("row").eqNullSafe(F.col("header_row")) | (F.col("block") > 0))
+    cell = F.array(*[F.col(f"parsed.c{i}") for i in range(width + 1)])
+    found = found.withColumn("parsed", parsed).withColumn("cell", cell)
+    columns = [F.get("cell", F.get("cells", F.lit(i))).alias(c) for i, c in enumerate(spec.columns)]
+    return found.select(*columns, F.col("file").alias("_src_file"), F.col("block").alias("_block"), F.col("row").alias("_row"))
+
+
 def _positioned(df: DataFrame, spec: TableSpec) -> DataFrame:
     # taken directly above the scan, before any shuffle: (file, split start, row within split)
     return df.select(
