@@ -13,6 +13,7 @@ from starload.plans.rule_plans import CHECKED_SQL, dims_and_targets
 from starload.plans.tables import table
 from starload.session import scratch_path
 from starload.streaming import ingest as stream
+from starload.streaming.burst import burst_flags_stream, keyed_state
 
 # One micro-batch holds all messages, so repeated ids are looked for over the whole stream.
 _ONE_BATCH_SQL = CHECKED_SQL.replace(fixtures.RAW_MESSAGES["batch_id"], "CAST(0 AS BIGINT)")
@@ -62,6 +63,46 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Every 97th event older than a day before the last one comes when its time is long over.
+_LATE = "event_id % 97 = 0 AND ts < (SELECT max(ts) FROM events) - INTERVAL '1' DAY"
+BURST_LIMIT, BURST_TTL_SECONDS = 3, 6 * 3600
+
+
+def _burst_stream_sql() -> str:
+    ttl = BURST_TTL_SECONDS * 1_000_000
+    now = "CASE WHEN e.t >= s.expires THEN 0 ELSE s.cnt END"
+    return f"""WITH RECURSIVE e AS (
+  SELECT user_id, event_id, epoch_us(ts) AS t, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events WHERE NOT ({_LATE})
+), s(user_id, rn, event_id, cnt, expires, flagged) AS (
+  SELECT user_id, rn, event_id, 1, t + {ttl}, false FROM e WHERE rn = 1
+  UNION ALL
+  SELECT e.user_id, e.rn, e.event_id, least({now} + 1, {BURST_LIMIT}), CASE WHEN {now} >= {BURST_LIMIT} THEN s.expires ELSE e.t + {ttl} END, {now} >= {BURST_LIMIT}
+  FROM s JOIN e ON e.user_id = s.user_id AND e.rn = s.rn + 1
+)
+SELECT CAST(user_id AS VARCHAR) AS user_id, event_id, flagged, false AS late FROM s
+UNION ALL SELECT CAST(user_id AS VARCHAR), event_id, NULL, true FROM events WHERE {_LATE}"""
+
+
+@register("burst_stream", oracle=_burst_stream_sql(), ids=("T8",))
+def burst_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as three loads of a stream that is stopped and started again between them: one half, the other half, and those
+    that come too late together with a row that only moves the clock."""
+    root = scratch_path(spark, "burst-stream")
+    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id")
+    ends = events.agg(F.max("ts").alias("last"), F.min("ts").alias("begin")).select("last", (F.col("last") - F.expr("interval 1 day")).alias("day"), (F.col("begin") + (F.col("last") - F.col("begin")) / 2).alias("middle"))
+    held = (F.col("event_id") % 97 == 0) & (F.col("ts") < ends.select("day").scalar())
+    half = F.col("ts") < ends.select("middle").scalar()
+    tick = ends.select(F.lit(None).cast("bigint").alias("user_id"), (F.col("last") + F.expr("interval 30 days")).alias("ts"), F.lit(None).cast("bigint").alias("event_id"))
+    for part in (events.where(~held & half), events.where(~held & ~half), events.where(held).unionByName(tick)):
+        part.write.mode("append").parquet(f"{root}/events")
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/events")
+        flags = burst_flags_stream(stream, key="user_id", ts="ts", tie="event_id", limit=BURST_LIMIT, ttl_seconds=BURST_TTL_SECONDS, watermark="2 hours", slot_seconds=3600)
+        with keyed_state(spark):
+            query = flags.writeStream.format("parquet").option("path", f"{root}/flags").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination()
+    return spark.read.parquet(f"{root}/flags")
+
+
 @register(
     "assign_ids_wide",
     oracle="""SELECT * REPLACE (CASE WHEN l_linenumber = 1 THEN l_orderkey ELSE

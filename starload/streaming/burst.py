@@ -1,21 +1,120 @@
-"""Burst detection on a live event stream (T8, streaming form).
+"""Burst detection on a live event stream (T8, streaming form): the rate rule in event-time order, late calls set apart.
 
-Keyed state (count, expires) per key with ``applyInPandasWithState``. Each trigger hands one
-key's new events (bounded by the trigger cap) and its state; an event-time watermark plus a
-timeout at the counter's expiry removes state that can no longer matter.
+The rule depends on the order of a key's calls, so a call is decided only once the watermark says that no earlier one is
+to come. Until then it waits in the key's buffer, which is state: calls by time slot, one map entry per slot. A timer in
+event time wakes the key at the end of each slot that holds calls; the slots that are over are read in order, sorted,
+decided and removed. Beside the buffer a key keeps its counter and expiry, which go when they can't matter any more.
+
+Spark drops rows behind the watermark before a stateful operator sees them. Here nothing may vanish: every event passes
+the watermark as a tick, which moves it and is then left out, and as a call without a time for Spark to judge. A call
+whose slot is over, or that has no time, comes out at once with ``late`` true and no flag. Rows without a key only move the
+clock; a source that falls silent sends one to have the last calls decided.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from starload import specs
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_NO_TIME = -(1 << 60)
+OUTPUT = "_key string, _tie long, flagged boolean, late boolean"
+
+
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """A query that is started inside keeps its state in RocksDB, as keyed state with timers needs; the session's own setting comes back."""
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, _ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+
+
+class RateRule(StatefulProcessor):
+    """One key's calls: (time in microseconds, tie) by slot of ``slot_us``, and its counter with expiry."""
+
+    def __init__(self, limit: int, ttl_us: int, slot_us: int) -> None:
+        self.limit, self.ttl_us, self.slot_us = limit, ttl_us, slot_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.served = handle, None
+        self.waiting = handle.getMapState("waiting", "slot long", "times array<long>, ties array<long>")
+        self.counter = handle.getValueState("counter", "count long, expires long")
+
+    def _over(self, slot: int, watermark_ms: int) -> bool:
+        return (slot + 1) * self.slot_us <= watermark_ms * 1000
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        new: dict[int, tuple[list[int], list[int]]] = {}
+        late: list[int] = []
+        for part in rows:
+            # by position: the columns of a group come under other names
+            for t, tie in zip(part.iloc[:, 1].tolist(), part.iloc[:, 2].tolist(), strict=True):
+                slot = t // self.slot_us
+                if self._over(slot, watermark):
+                    late.append(tie)
+                else:
+                    times, ties = new.setdefault(slot, ([], []))
+                    times.append(t)
+                    ties.append(tie)
+        for slot, (times, ties) in new.items():
+            if self.waiting.containsKey((slot,)):
+                had = self.waiting.getValue((slot,))
+                times, ties = [*had[0], *times], [*had[1], *ties]
+            else:
+                self.handle.registerTimer(-(-(slot + 1) * self.slot_us // 1000))
+            self.waiting.updateValue((slot,), (times, ties))
+        if late:
+            yield self._out(key, late, [None] * len(late), True)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        if self.served == (key, watermark):  # the key's first timer of this watermark has done all
+            return
+        self.served = key, watermark
+        slots = sorted(k[0] for k in self.waiting.keys())
+        due = [s for s in slots if self._over(s, watermark)]
+        count, expires = self.counter.get() if self.counter.exists() else (0, _NO_TIME)
+        ties, flags = [], []
+        for slot in due:  # each call is in one slot, so slots in order and calls in order within a slot
+            had = self.waiting.getValue((slot,))
+            for t, tie in sorted(zip(had[0], had[1], strict=True)):
+                if t >= expires:
+                    count = 0
+                flags.append(count >= self.limit)
+                ties.append(tie)
+                if not flags[-1]:
+                    count, expires = count + 1, t + self.ttl_us
+            self.waiting.removeKey((slot,))
+        # a call that may still come lies in a slot that is not over, so at most one slot behind the watermark
+        spent = expires + self.slot_us
+        if due:
+            self.counter.update((count, expires))
+            self.handle.registerTimer(-(-spent // 1000))
+        elif not slots and spent <= watermark * 1000 and self.counter.exists():
+            self.counter.clear()
+        if ties:
+            yield self._out(key, ties, flags, False)
+
+    @staticmethod
+    def _out(key: Any, ties: list[int], flags: list[bool | None], late: bool) -> pd.DataFrame:
+        return pd.DataFrame({"_key": [key[0]] * len(ties), "_tie": ties, "flagged": pd.array(flags, dtype="boolean"), "late": [late] * len(ties)})
+
+    def close(self) -> None:
+        pass
+
 
 def burst_flags_stream(
     events: DataFrame,
@@ -26,41 +125,18 @@ def burst_flags_stream(
     limit: int = specs.RATE_LIMIT_CALLS,
     ttl_seconds: int = specs.RATE_LIMIT_TTL_SECONDS,
     watermark: str = "10 minutes",
+    slot_seconds: float = 10,
 ) -> DataFrame:
-    ttl_us = int(ttl_seconds) * 1_000_000
-    base = events.select(
-        F.col(key).cast("string").alias("_key"),
-        F.col(ts).cast("timestamp").alias("_ts"),
-        F.col(tie).cast("bigint").alias("_tie"),
-    ).withWatermark("_ts", watermark)
-
-    def step(k: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        count, expires = state.get if state.exists else (0, -(2**62))
-        frames = [p for p in pdfs]
-        pdf = pd.concat(frames) if frames else pd.DataFrame({"_ts": [], "_tie": []})
-        pdf = pdf.sort_values(["_ts", "_tie"], kind="mergesort")
-        t_us = (pdf["_ts"].astype("int64") // 1000).to_numpy()
-        flags = []
-        for t in t_us:
-            if t >= expires:
-                count = 0
-            if count >= limit:
-                flags.append(True)
-            else:
-                count += 1
-                expires = int(t) + ttl_us
-                flags.append(False)
-        state.update((count, expires))
-        state.setTimeoutTimestamp(max(expires // 1000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"_key": [k[0]] * len(flags), "_tie": pdf["_tie"].to_numpy(), "flagged": flags})
-
-    return base.groupBy("_key").applyInPandasWithState(
-        step,
-        outputStructType="_key string, _tie long, flagged boolean",
-        stateStructType="count long, expires long",
-        outputMode="append",
-        timeoutConf=GroupStateTimeout.EventTimeTimeout,
-    ).select(F.col("_key").alias(key), F.col("_tie").alias(tie), "flagged")
+    """Every call with ``flagged``, as ``operators.burst.burst_flags`` gives it for all calls that are not late; late ones
+    with ``late`` true and a null flag. ``tie`` orders calls of one time.
+
+    Calls are decided ``watermark`` and up to ``slot_seconds`` after their time. Start the query inside ``keyed_state``."""
+    us = F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(_NO_TIME))
+    copies = F.array(F.lit(True), F.lit(False))
+    rows = events.select(F.col(key).cast("string").alias("_key"), us.alias("_us"), F.col(tie).cast("bigint").alias("_tie"), F.explode(copies).alias("_tick"))
+    # only a condition on the event time stays above the watermark; another would be pushed below and hide rows from the clock
+    tick = F.when(F.col("_tick") | F.col("_key").isNull(), F.timestamp_micros(F.greatest("_us", F.lit(0))))
+    calls = rows.select("_key", "_us", "_tie", tick.alias("_clock")).withWatermark("_clock", watermark).where("_clock is null")
+    rule = RateRule(int(limit), int(ttl_seconds) * 1_000_000, int(slot_seconds * 1_000_000))
+    out = calls.groupBy("_key").transformWithStateInPandas(rule, OUTPUT, "append", "eventtime")
+    return out.select(F.col("_key").alias(key), F.col("_tie").alias(tie), "flagged", "late")

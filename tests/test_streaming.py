@@ -61,30 +61,46 @@ def test_stream_equals_batch_and_restart(spark, workdir):
     assert (140, "No Id", 1) in loaded or any(r[1] == "No Id" and r[0] > 139 for r in loaded)
 
 
-def test_stream_bursts_equal_batch(spark, workdir):
-    import datetime as dt
+def _run_bursts(spark, root, schema, **rule):
+    """Until the files there are used up, and no more; started again it goes on from its checkpoint."""
+    from starload.streaming.burst import burst_flags_stream, keyed_state
 
-    from starload.operators.burst import burst_flags
-    from starload.streaming.burst import burst_flags_stream
-
-    t0 = dt.datetime(2024, 1, 1)
-    rows = [(k, k * 1000 + i, t0 + dt.timedelta(seconds=7 * i + k)) for k in (1, 2) for i in range(40)]
-    ev = spark.createDataFrame(rows, "user_id long, event_id long, ts timestamp_ntz")
-    src = f"{workdir}/events"
-    # files in time order, one per chunk of the timeline
-    for c in range(4):
-        chunk = ev.where(f"ts >= timestamp_ntz'{t0 + dt.timedelta(seconds=70 * c)}' and ts < timestamp_ntz'{t0 + dt.timedelta(seconds=70 * (c + 1))}'")
-        chunk.coalesce(1).write.mode("overwrite").parquet(f"{src}/c={c}")
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
-    flagged = burst_flags_stream(stream, key="user_id", ts="ts", tie="event_id", limit=4, ttl_seconds=30, watermark="1 minute")
-    out = f"{workdir}/out"
-    q = (flagged.writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", f"{workdir}/ck").trigger(availableNow=True).start())
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
+    flagged = burst_flags_stream(stream, key="user_id", ts="ts", tie="event_id", **rule)
+    with keyed_state(spark):
+        q = flagged.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start()
     q.awaitTermination(300)
     assert q.exception() is None
-    got = {(int(r.user_id), r.event_id): r.flagged for r in spark.read.parquet(out).collect()}
-    want = {(r.user_id, r.event_id): r.flagged for r in burst_flags(ev, key="user_id", ts="ts", tie="event_id", limit=4, ttl_seconds=30).collect()}
-    assert got == want and any(want.values())
+
+
+def test_stream_bursts_equal_batch_and_late_calls_are_set_apart(spark, workdir):
+    import datetime as dt
+    import random
+
+    from starload.operators.burst import burst_flags
+
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    rng, t0 = random.Random(4), dt.datetime(2024, 1, 1)
+    rows = [(k, k * 1000 + i, t0 + dt.timedelta(seconds=7 * (i // 2) + k)) for k in (1, 2, 3) for i in range(80)]  # calls of one time too
+    end = t0 + dt.timedelta(seconds=300)
+    late = [r for r in rows if r[2] < t0 + dt.timedelta(seconds=100) and rng.random() < 0.2] + [(4, 4000, t0)]
+    soon = [r for r in rows if r not in late]
+    # within the delay of 60 s calls come in any order, and a third part of them a batch later than their neighbours
+    first = [r for r in soon if r[2] < t0 + dt.timedelta(seconds=180) and rng.random() < 0.7 or r[2] < t0 + dt.timedelta(seconds=125)]
+    second = [r for r in soon if r not in first]
+    rng.shuffle(first)
+    rng.shuffle(second)
+    schema = "user_id long, event_id long, ts timestamp_ntz"
+    rule = {"limit": 4, "ttl_seconds": 30, "watermark": "1 minute", "slot_seconds": 8}
+    for part in (first, second, [*late, (5, 5000, None), (None, None, end + dt.timedelta(hours=1))]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{workdir}/events")
+        _run_bursts(spark, workdir, schema, **rule)
+    got = spark.read.parquet(f"{workdir}/out").collect()
+    assert len(got) == len(rows) + 2
+    assert sorted(r.event_id for r in got if r.late) == sorted([*(r[1] for r in late), 5000]) and all(r.flagged is None for r in got if r.late)
+    want = {r.event_id: r.flagged for r in burst_flags(spark.createDataFrame(soon, schema), key="user_id", ts="ts", tie="event_id", limit=4, ttl_seconds=30).collect()}
+    assert {r.event_id: r.flagged for r in got if not r.late} == want and any(want.values())
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before
 
 
 def test_a_replayed_batch_gives_the_same_rows(spark, workdir):
