@@ -13,6 +13,7 @@ from starload.plans.rule_plans import CHECKED_SQL, dims_and_targets
 from starload.plans.tables import table
 from starload.session import scratch_path
 from starload.streaming import ingest as stream
+from starload.streaming import queue
 from starload.streaming.burst import burst_flags_stream, keyed_state
 
 # One micro-batch holds all messages, so repeated ids are looked for over the whole stream.
@@ -63,6 +64,46 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+QUEUE_PARTITIONS, FLUSHED = 4, 1000
+
+_FLUSH_SQL = f"""
+WITH m AS (SELECT event_id, user_id % {QUEUE_PARTITIONS} AS p, row_number() OVER (PARTITION BY user_id % {QUEUE_PARTITIONS} ORDER BY event_id) - 1 AS o FROM events WHERE event_id % 7 <> 0),
+r AS (SELECT event_id, p, row_number() OVER (ORDER BY o // 1000, p, o) - 1 AS n FROM m)
+SELECT n // {FLUSHED} AS batch_id, count(*) AS records, count(DISTINCT p) AS queue_partitions, CAST(sum(event_id) AS BIGINT) AS ids,
+       CASE WHEN count(*) = {FLUSHED} THEN 'count' ELSE 'age' END AS flushed_by
+FROM r GROUP BY n // {FLUSHED}"""
+
+
+@register("stream_flush", oracle=_FLUSH_SQL, ids=("T2", "S12", "S13"))
+def stream_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as messages of a queue, consumed until it is empty: batches of exactly 1000 in the order of arrival, and a last one that
+    goes because its oldest message has waited for two seconds."""
+    root = scratch_path(spark, "queue")
+    events = table(spark, sf_dir, "events").where("event_id % 7 <> 0").select((F.col("user_id") % QUEUE_PARTITIONS).cast("int").alias("queue_partition"), "event_id")
+    placed = loading.positions(events, ["queue_partition", "event_id"])
+    begins = placed.groupBy("queue_partition").agg(F.min("_position").alias("begin"))
+    offset = F.col("_position") - F.col("begin")
+    envelope = F.to_json(F.struct(F.lit("events").alias("table"), F.struct(F.col("event_id").alias("id")).alias("payload")))
+    arrived = F.lit(1_600_000_000_000) + F.floor(offset / queue.SEGMENT) * 1000
+    messages = placed.join(F.broadcast(begins), "queue_partition").select(  # one row per queue partition
+        F.col("event_id").cast("string").alias("key"), envelope.alias("value"), "queue_partition", offset.alias("offset"), arrived.alias("arrived_ms")
+    )
+    queue.publish(messages, f"{root}/messages")
+    source = queue.queue_source(spark, f"{root}/messages", max_records=FLUSHED)
+
+    def flush(batch: DataFrame, batch_id: int) -> None:
+        batch.select("key", "_offset.partition").write.mode("overwrite").parquet(f"{root}/flushed/batch_id={batch_id}")
+
+    query = source.writeStream.option("checkpointLocation", f"{root}/checkpoint").foreachBatch(flush).trigger(processingTime="0 seconds").start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    batches = spark.read.parquet(f"{root}/flushed").groupBy(F.col("batch_id").cast("bigint").alias("batch_id"))
+    out = batches.agg(F.count("*").alias("records"), F.countDistinct("partition").alias("queue_partitions"), F.sum(F.col("key").cast("bigint")).alias("ids"))
+    return out.withColumn("flushed_by", F.when(F.col("records") == FLUSHED, "count").otherwise("age"))
+
+
 # Every 97th event older than a day before the last one comes when its time is long over.
 _LATE = "event_id % 97 = 0 AND ts < (SELECT max(ts) FROM events) - INTERVAL '1' DAY"
 BURST_LIMIT, BURST_TTL_SECONDS = 3, 6 * 3600
