@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starload import specs
 from starload.operators import loading
+from starload.operators.id_store import IdStore
 from starload.plans import fixtures
 from starload.plans.cleaning_plans import HIRES_STEPS_SQL, _hires, dim_steps_sql
 from starload.plans.registry import register
@@ -136,3 +137,24 @@ def full_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     target = scratch_path(spark, "full-load")
     return loading.full_load(spark, raw, target, position={"hired_employees": fixtures.HIRES_POSITION})
+
+
+STORED_BATCHES = 20
+
+_PROBE_SQL = """
+SELECT id, id IN (SELECT o_orderkey FROM orders) AS stored FROM (SELECT DISTINCT l_orderkey + l_linenumber * 3 AS id FROM lineitem)"""
+
+
+@register("id_store_probe", oracle=_PROBE_SQL, ids=("V9", "J5", "T3"))
+def id_store_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order ids stored batch by batch, a third of them before the first; runs are merged on the way. Then the ids that the fact's
+    lines name are asked for, more than go as values, so they are dealt to the runs' buckets."""
+    store = IdStore(spark, scratch_path(spark, "id-store"))
+    keys = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    store.begin(keys.where("id % 3 = 0"))
+    for batch in range(STORED_BATCHES):
+        store.compact(batch)
+        store.add(keys.where((F.col("id") % 3 != 0) & (F.pmod(F.xxhash64("id"), F.lit(STORED_BATCHES)) == batch)), batch)
+    named = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") + F.col("l_linenumber") * 3).cast("bigint").alias("id")).distinct()
+    found = store.probe(named).withColumn("hit", F.lit(True))
+    return named.join(found, "id", "left").select("id", F.coalesce("hit", F.lit(False)).alias("stored"))

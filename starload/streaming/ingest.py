@@ -8,8 +8,8 @@ Delivery: each micro-batch writes its output under ``batch_id=<n>`` folders with
 batch replayed after a failure replaces its own output instead of duplicating it; together with
 the checkpoint this gives effectively-once results (the reference could silently drop a failed
 flush). Ids count as stored only from batches before it, so a replay accepts what the first run
-accepted. The trigger interval stands in for the flush rule's 2 s; its 1000 records are a per-trigger
-cap that the caller may set.
+accepted. From ``queue.queue_source`` batches come by the flush rule, 1000 records or 2 s; with other sources
+the trigger interval stands in for the 2 s, and the caller may cap a trigger's records.
 """
 
 from __future__ import annotations
@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from starload import specs
-from starload.operators import ingest, loading, rejects
+from starload.operators import ingest, loading, rejects, rules
+from starload.operators.id_store import IdStore
 from starload.session import list_dirs, path_exists
+from starload.sources.envelope import parse_envelope
 
 KAFKA_TOPICS = ",".join(f"raw.{t}" for t in specs.TABLES)
 
@@ -36,6 +38,7 @@ class IngestConfig:
     checkpoint: str          # streaming checkpoint (shared storage)
     as_of: dt.datetime | str | None = None   # validation clock; None = latest arrival in the batch
     dims_from: dict[str, str] = field(default_factory=dict)  # optional override of dim folders
+    id_store: str | None = None  # stored ids by table, so that a batch's cost does not grow with what was stored before
 
 
 def kafka_source(spark: SparkSession, servers: str, topics: str = KAFKA_TOPICS, max_offsets: int | None = None) -> DataFrame:
@@ -81,6 +84,30 @@ def _earlier(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
     return spark.read.parquet(path).where(F.col("batch_id") < batch_id).select(F.col("id").cast("bigint").alias("id"))
 
 
+def _named_ids(msgs: DataFrame) -> dict[str, DataFrame]:
+    """Per table the ids that the messages name: their own ones, and those of the rows that facts refer to."""
+    parsed = parse_envelope(msgs).where("envelope_ok")
+    named = lambda t, column: parsed.where(F.col("table") == t).select(rules.as_int(rules.field(F.col("payload"), column)).alias("id"))
+    out = {t: named(t, s.key) for t, s in specs.TABLES.items()}
+    for t, s in specs.TABLES.items():
+        for r in s.refs:
+            out[r.table] = out[r.table].unionByName(named(t, r.column))
+    return out
+
+
+def _probed(msgs: DataFrame, batch_id: int, cfg: IngestConfig) -> tuple[dict[str, IdStore], dict[str, DataFrame]]:
+    """The stores, and of the ids that the batch names those that are stored."""
+    spark = msgs.sparkSession
+    stores = {t: IdStore(spark, f"{cfg.id_store}/{t}") for t in specs.TABLES}
+    named = _named_ids(msgs)
+    found = {}
+    for t, store in stores.items():
+        store.begin(_read_ids(spark, cfg.dims_from.get(t, f"{cfg.tables_dir}/{t}")))
+        store.compact(batch_id)
+        found[t] = store.probe(named[t], before=batch_id)
+    return stores, found
+
+
 def require_dimension_ids(checked: DataFrame) -> DataFrame:
     """A dimension row needs an id that its column can hold; others are rejected as ``BAD_ID``."""
     dims = [n for n, s in specs.TABLES.items() if not s.id_optional]
@@ -101,18 +128,26 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: IngestConfig) -> None:
     # a clock carried by the data: a replayed batch judges "future" exactly as the first run did
     as_of = cfg.as_of or msgs.select(F.max("arrived")).scalar()
     try:
-        stored = {t: _read_ids(spark, cfg.dims_from.get(t, f"{cfg.tables_dir}/{t}")) for t in specs.TABLES}
-        streamed = {t: _earlier(spark, f"{cfg.stream_dir}/{t}", batch_id) for t in specs.TABLES}
-        targets = {t: stored[t].unionByName(streamed[t]) for t in specs.TABLES}
+        stores: dict[str, IdStore] = {}
+        if cfg.id_store:
+            stores, targets = _probed(msgs, batch_id, cfg)
+        else:
+            stored = {t: _read_ids(spark, cfg.dims_from.get(t, f"{cfg.tables_dir}/{t}")) for t in specs.TABLES}
+            streamed = {t: _earlier(spark, f"{cfg.stream_dir}/{t}", batch_id) for t in specs.TABLES}
+            targets = {t: stored[t].unionByName(streamed[t]) for t in specs.TABLES}
         dims = {t: targets[t] for t in ("departments", "jobs")}
         checked = require_dimension_ids(ingest.check_messages(msgs, dims=dims, targets=targets, as_of=as_of)).persist()
         for name, spec in specs.TABLES.items():
             accepted = checked.where(F.col("error_type").isNull() & (F.col("table") == name))
             rows = loading.conform(accepted.select("_offset", "payload"), spec)
             if spec.id_optional:
-                rows = loading.assign_ids(rows, order=["_offset"], stored_ids=targets[name])
+                known = spark.createDataFrame([(stores[name].highest(before=batch_id),)], "id bigint") if stores else targets[name]
+                rows = loading.assign_ids(rows, order=["_offset"], stored_ids=known)
             out = rows.select(*spec.columns)
-            out.write.mode("overwrite").parquet(f"{cfg.stream_dir}/{name}/batch_id={batch_id}")
+            appended = f"{cfg.stream_dir}/{name}/batch_id={batch_id}"
+            out.write.mode("overwrite").parquet(appended)
+            if stores:
+                stores[name].add(spark.read.schema(out.schema).parquet(appended).select(spec.key), batch_id)
         # log ids: batch number, then the message's rank in the batch (range-partitioned ranking,
         # no single-task window, whatever the size of the micro-batch)
         ranked = loading.positions(checked, ["_offset"])

@@ -61,6 +61,32 @@ def test_stream_equals_batch_and_restart(spark, workdir):
     assert (140, "No Id", 1) in loaded or any(r[1] == "No Id" and r[0] > 139 for r in loaded)
 
 
+def test_the_id_store_changes_no_outcome(spark, workdir, monkeypatch):
+    from starload.operators import id_store
+
+    monkeypatch.setattr(id_store, "FAN", 2)
+    results = []
+    for store in (None, f"{workdir}/ids"):
+        root = f"{workdir}/with{bool(store)}"
+        src, cfg = _setup(spark, root, 3)
+        cfg.id_store = store
+        _run(spark, src, cfg)
+        rows = spark.read.parquet(f"{cfg.stream_dir}/hired_employees").select("id", "name")
+        rejected = spark.read.parquet(cfg.reject_dir).where("error_type <> 'BATCH_SUMMARY'").select("error_type", "error_message")
+        results.append((sorted(map(tuple, rows.collect())), sorted(map(tuple, rejected.collect()))))
+    assert results[0] == results[1]
+    kept = id_store.IdStore(spark, f"{workdir}/ids/hired_employees")
+    assert [(r.first, r.last) for r in kept.runs()] == [(-1, -1), (0, 1)] and kept.recent() == [2]
+    batch = spark.createDataFrame([(m["key"], m["value"], (0, m["offset"])) for m in _messages()[-9:]], "key string, value string, _offset struct<file: int, offset: long>")
+    batch = batch.selectExpr("*", "timestamp_ntz'2024-01-01 00:00:00' AS arrived")
+    runs = []
+    for _ in range(2):  # a batch that is run again accepts what the first run accepted
+        cfg.stream_dir = f"{workdir}/replay"
+        stream_ingest.process_batch(batch, 3, cfg)
+        runs.append(sorted(map(tuple, spark.read.parquet(f"{workdir}/replay/hired_employees/batch_id=3").select("id", "name").collect())))
+    assert runs[0] == runs[1] == [(max(r[0] for r in results[0][0]) + 1, "No Id")]
+
+
 def _run_bursts(spark, root, schema, **rule):
     """Until the files there are used up, and no more; started again it goes on from its checkpoint."""
     from starload.streaming.burst import burst_flags_stream, keyed_state
