@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starload import specs
 from starload.functions.nested import map_all_strings
-from starload.functions.text import event_colour, hash_column, json_record, matches_any, nan_to_null, sanitize_text
+from starload.functions.text import event_colour, format_error, hash_column, json_record, matches_any, nan_to_null, sanitize_text
 from starload.operators import rejects
 from starload.operators.partitioning import spread
 from starload.plans import fixtures
@@ -298,3 +298,15 @@ def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratio = F.when(F.col("event_id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("event_id") % 4 + F.lit(0.5))
     rows = events.withColumn("ratio", nan_to_null(ratio))
     return rows.select("event_id", json_record("event_id", "ts", "user_id", "ratio").alias("record"))
+
+
+@register(
+    "format_error",
+    oracle="""SELECT event_id, CASE WHEN event_id % 3 = 2 THEN '[user ' || CAST(user_id AS VARCHAR) || '] ' ELSE '' END || event_type || ': ' || props AS message FROM events""",
+    ids=("E17",),
+)
+def format_error_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages for a log; every third has a context, the others an empty one or none."""
+    context = F.when(F.col("event_id") % 3 == 0, "").when(F.col("event_id") % 3 == 2, F.concat(F.lit("user "), F.col("user_id").cast("string")))
+    events = table(spark, sf_dir, "events").withColumn("context", context)
+    return events.select("event_id", format_error("event_type", "props", "context").alias("message"))

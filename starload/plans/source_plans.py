@@ -129,10 +129,51 @@ def backup_restore_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     backups = scratch_path(spark, "backups")
     backup.take_snapshot(src, backups, "hired_employees", as_of=dt.datetime(2024, 1, 31, 12, 0, 0))
     target = scratch_path(spark, "restored") + "/hired_employees"
+    backup.restore(spark, backups, "hired_employees", target, columns=_LINEITEM_COLS)
+    return spark.read.parquet(target)
+
+
+_NO_IDS = "CAST(l_partkey AS STRING) || ' ' || l_returnflag AS name, l_shipdate AS datetime, l_suppkey AS department_id, l_partkey AS job_id"
+
+
+@register(
+    "restore_without_ids",
+    oracle=f"""WITH f AS (SELECT l_linenumber, l_orderkey, {_NO_IDS} FROM lineitem), ids AS (SELECT max(l_orderkey) AS highest FROM lineitem WHERE l_linenumber = 1)
+SELECT (SELECT highest FROM ids) + ROW_NUMBER() OVER (ORDER BY name, datetime, department_id, job_id) AS id, name, datetime, department_id, job_id
+FROM f WHERE l_linenumber > 1
+UNION ALL SELECT l_orderkey, name, datetime, department_id, job_id FROM f WHERE l_linenumber = 1""",
+    ids=("S10", "S11"),
+)
+def restore_without_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot of which only first lines have ids replaces a table that holds those ids."""
+    facts = table(spark, sf_dir, "lineitem").selectExpr("CASE WHEN l_linenumber = 1 THEN l_orderkey END AS id", *_NO_IDS.split(", "))
+    backups, target = scratch_path(spark, "backups"), scratch_path(spark, "restored") + "/hired_employees"
+    facts.where("id is not null").select("id").write.parquet(target)
+    backup.take_snapshot(facts, backups, "hired_employees", as_of=dt.datetime(2024, 1, 31, 12, 0, 0))
     backup.restore(spark, backups, "hired_employees", target)
     return spark.read.parquet(target)
 
 
+@register(
+    "profile_sample",
+    oracle="""WITH f AS (SELECT s_suppkey, s_name, ROW_NUMBER() OVER (ORDER BY s_suppkey) AS place FROM supplier),
+t AS (SELECT COUNT(*) AS n_rows, 'id,name' AS columns, CAST(SUM(strlen(CAST(s_suppkey AS VARCHAR) || ',' || s_name) + 1) AS BIGINT) AS size_bytes FROM f)
+SELECT n_rows, columns, size_bytes, place, CAST(s_suppkey AS VARCHAR) AS id, s_name AS name FROM f, t WHERE place <= 5""",
+    ids=("S4", "A12"),
+)
+def profile_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is told of a file set: rows, columns, size, and its first five rows (the sample is the feature)."""
+    root = scratch_path(spark, "csv-profile")
+    rows = table(spark, sf_dir, "supplier").repartitionByRange("s_suppkey").sortWithinPartitions("s_suppkey")
+    _as_files(rows.select(F.concat_ws(",", "s_suppkey", "s_name").alias("line")), root)
+    df = csv.read_raw(spark, root, specs.DEPARTMENTS, glob="part-*")
+    total = csv.profile(df).select(F.col("rows").alias("n_rows"), "columns")
+    size = round(csv.files_size_mb(spark, root, glob="part-*") * 1024 * 1024)
+    first = csv.sample_rows(df).collect()  # five rows
+    sample = spark.createDataFrame([(i, r.id, r.name) for i, r in enumerate(first, 1)], "place bigint, id string, name string")
+    return sample.select(total.select("n_rows").scalar().alias("n_rows"), total.select("columns").scalar().alias("columns"), F.lit(size).cast("bigint").alias("size_bytes"), "place", "id", "name")
+
+
 @register(
     "latest_backup",
     oracle="SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal >= 5000",

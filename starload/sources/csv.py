@@ -197,11 +197,11 @@ def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
     return (df.orderBy(*order) if order else df).limit(n)
 
 
-def files_size_mb(spark: SparkSession, path: str) -> float:
+def files_size_mb(spark: SparkSession, path: str, glob: str = "*.csv") -> float:
     """Total size of the matching files in MB (listing metadata), not rounded."""
     jvm = spark.sparkContext._jvm
     total = 0
-    for f in list_files(spark, path):
+    for f in list_files(spark, path, glob):
         p = jvm.org.apache.hadoop.fs.Path(f)
         total += p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).getLen()
     return total / (1024 * 1024)

@@ -69,3 +69,38 @@ def test_files_of_differing_headers_and_quoted_cells(spark, workdir):
     (d / "d.csv").write_text("")
     got = csv.read_raw(spark, str(d), specs.DEPARTMENTS, multiline=True).select("id", "name").collect()
     assert sorted(map(tuple, got)) == [("1", 'Ana "the" Gil'), ("2", "Luis\nPaz"), ("3", "id")]
+
+
+def test_restore_checks_the_columns_before_the_target_is_touched(spark, workdir):
+    import datetime as dt
+
+    import pytest
+
+    from starload.sources import backup
+
+    now = dt.datetime(2024, 1, 1)
+    with pytest.raises(ValueError, match="table must be one of"):
+        backup.take_snapshot(spark.range(1), workdir, "lineitem", as_of=now)
+    target = f"{workdir}/target/departments"
+    spark.createDataFrame([(1, "Sales")], "id int, name string").write.parquet(target)
+    backup.take_snapshot(spark.createDataFrame([(2, "x")], "id int, title string"), workdir, "departments", as_of=now)
+    with pytest.raises(ValueError, match=r"missing columns \['name'\], unknown columns \['title'\]"):
+        backup.restore(spark, workdir, "departments", target)
+    assert [r.name for r in spark.read.parquet(target).collect()] == ["Sales"]
+
+
+def test_restore_of_a_fact_without_ids(spark, workdir):
+    import datetime as dt
+
+    from starload.sources import backup
+
+    rows = [("Ana", "2024-01-02 00:00:00", 1, 1), ("Ana", "2024-01-01 00:00:00", 1, 2), ("Eva", "2024-01-01 00:00:00", 2, 1)]
+    facts = spark.createDataFrame(rows, "name string, datetime string, department_id int, job_id int").selectExpr("name", "cast(datetime AS timestamp_ntz) AS datetime", "department_id", "job_id")
+    backup.take_snapshot(facts, workdir, "hired_employees", as_of=dt.datetime(2024, 1, 1))
+    target = f"{workdir}/target/hired_employees"
+    assert backup.restore(spark, workdir, "hired_employees", target) == 3
+    got = spark.read.parquet(target)
+    assert got.columns == list(specs.HIRED_EMPLOYEES.columns) and got.schema["id"].dataType.simpleString() == "int"
+    assert sorted((r.id, r.name, r.job_id) for r in got.collect()) == [(1, "Ana", 2), (2, "Ana", 1), (3, "Eva", 1)]
+    assert backup.restore(spark, workdir, "hired_employees", target) == 3  # ids of the replaced table are not used again
+    assert sorted(r.id for r in spark.read.parquet(target).collect()) == [4, 5, 6]
