@@ -12,6 +12,10 @@ from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: Fixed value: the characters of Unicode's White_Space property, which end a unit.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Characters that are letters for certain, and ASCII characters that are none: a run of the former ends at the latter.
@@ -20,8 +24,9 @@ OTHER = "!-@\\[-`{-~"
 UNIT = re.compile(f" ?[{LETTER}]+(?![^{WHITE}{OTHER}])| ?[^{WHITE}]+|[{WHITE}]+(?=[{WHITE}][^{WHITE}])|[{WHITE}]+")
 #: White space that is neither a space nor a line feed, and white space next to a space: such texts go unit by unit.
 ODD = re.compile(f"[\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: Bounds of the caches: words between spaces, and units. Each holds two generations of so many entries.
-CACHE_WORDS, CACHE_UNITS = 250_000, 600_000
+#: Bounds of the caches: words between spaces, and units. Each holds two generations of so many entries and what one call adds; an
+#: entry of either takes about 200 bytes.
+CACHE_WORDS, CACHE_UNITS = 600_000, 300_000
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -77,18 +82,36 @@ class Encoder:
         return b"".join(map(self.units.__getitem__, UNIT.findall(text)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The words between spaces are looked up whole; a word not met yet goes unit by unit."""
-        out = []
-        for t in texts:
-            self.words.turn()
-            self.units.turn()
+        """Ids of each text. Plain ones are split at their spaces all at once; only distinct words are looked up, one not met yet goes unit by unit."""
+        self.words.turn()
+        self.units.turn()
+        out, plain = [b""] * len(texts), []
+        for i, t in enumerate(texts):
             if "  " in t or "\n " in t or " \n" in t or t[:1] == " " or t[-1:] == " " or ODD.search(t):
-                out.append(self.by_unit(t))
+                out[i] = self.by_unit(t)
             else:
-                head, *rest = t.split(" ")
-                out.append(self.by_unit(head) + b"".join(map(self.words.__getitem__, rest)))
+                plain.append(i)
+        if plain:
+            for i, ids in zip(plain, self._plain([texts[i] for i in plain]), strict=True):
+                out[i] = ids
         return out
 
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        first = split.offsets.to_numpy()
+        coded = split.values.dictionary_encode()
+        words, which = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        which[first[:-1]] = len(words) + np.arange(len(texts))  # a text's first word has no space before it
+        heads = split.values.take(pa.array(first[:-1])).to_pylist()
+        pieces = [*map(self.words.__getitem__, words), *map(self.by_unit, heads)]
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        begins, ids = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(pieces), "<u4")
+        counts = sizes[which]
+        ends = np.cumsum(counts)
+        flat = ids[np.arange(ends[-1]) + np.repeat(begins[which] - ends + counts, counts)]
+        bounds = np.concatenate([[0], ends])[first].tolist()
+        return [flat[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
