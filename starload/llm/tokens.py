@@ -100,7 +100,7 @@ class Encoder:
         split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         first = split.offsets.to_numpy()
         coded = split.values.dictionary_encode()
-        words, which = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        words, which = coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.to_numpy().astype(np.int64)
         which[first[:-1]] = len(words) + np.arange(len(texts))  # a text's first word has no space before it
         heads = split.values.take(pa.array(first[:-1])).to_pylist()
         pieces = [*map(self.words.__getitem__, words), *map(self.by_unit, heads)]
