@@ -22,6 +22,8 @@ WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LETTER = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u02af"
 OTHER = "!-@\\[-`{-~"
 UNIT = re.compile(f" ?[{LETTER}]+(?![^{WHITE}{OTHER}])| ?[^{WHITE}]+|[{WHITE}]+(?=[{WHITE}][^{WHITE}])|[{WHITE}]+")
+#: A word that is letters for certain, and one mark behind them at most: its units are the letters, with the space before them, and the mark.
+PLAIN = re.compile(f"([{LETTER}]+)([{OTHER}]?)")
 #: White space that is neither a space nor a line feed, and white space next to a space: such texts go unit by unit.
 ODD = re.compile(f"[\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Bounds of the caches: words between spaces, and units. Each holds two generations of so many entries and what one call adds; an
@@ -69,15 +71,26 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model, self.chars = self.tokenizer.model, _byte_chars()
-        self.words = Cache(lambda w: self.by_unit(" " + w), CACHE_WORDS)
+        self.space = self.chars[0x20]
+        self.words = Cache(self._word, CACHE_WORDS)
         self.units = Cache(self._unit, CACHE_UNITS)
 
     def _unit(self, unit: str) -> bytes:
         """A run of letters is one piece for the pattern, so that the file's BPE model takes it as it is."""
         if unit.lstrip(" ").isalpha():
-            return array("I", [t.id for t in self.model.tokenize(unit.encode().decode("latin-1").translate(self.chars))]).tobytes()
+            shown = unit.replace(" ", self.space) if unit.isascii() else unit.encode().decode("latin-1").translate(self.chars)
+            return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
         return array("I", self.tokenizer.encode(unit, add_special_tokens=False).ids).tobytes()
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a word with the space before it. Most are letters with one mark at most, which needs no search for units."""
+        plain = PLAIN.fullmatch(word)
+        if plain is None:
+            return self.by_unit(" " + word)
+        letters, mark = plain.groups()
+        ids = self.units[" " + letters]
+        return ids + self.units[mark] if mark else ids
+
     def by_unit(self, text: str) -> bytes:
         return b"".join(map(self.units.__getitem__, UNIT.findall(text)))
 
