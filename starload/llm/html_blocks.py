@@ -83,12 +83,14 @@ def blocks(page: str) -> list[Block]:
 
 
 def _parse(page: str, wrappers: frozenset[int]) -> tuple[list[Block], frozenset[int]]:
-    """The blocks, and where the start tags end that are wrappers, unless given."""
+    """The blocks, and where the start tags end that are wrappers, unless given. Takes time in proportion to the page."""
     out: list[Block] = []
-    held: list[tuple[bool, frozenset[int]]] = []  # of each article or main element: is main, the elements set aside by words around it
+    held: list[tuple[bool, int]] = []  # of each article or main element: is main, the innermost element set aside by words around it
+    around: dict[int, tuple[int, int]] = {}  # of each element set aside by words: the next such one outwards (-1: none), how many with itself
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool, bool, int, bool]] = []  # name, set aside, main, heading, its place if by words, otherwise set aside by itself
+    stack: list[tuple[str, bool, bool, bool, int, int]] = []  # name, set aside, main, heading, innermost place by words, elements set aside by themselves
+    places: dict[str, list[int]] = {}  # of each name: where it is open in the stack
     unclosed: set[str] = set()  # names of which no end tag follows
     depth_a = 0
     context = (False, False, False)
@@ -106,6 +108,12 @@ def _parse(page: str, wrappers: frozenset[int]) -> tuple[list[Block], frozenset[
             parts.append(text)
             linked.append(text if depth_a else " ")
 
+    def leave(k: int) -> tuple[bool, bool, bool]:
+        for left in stack[k:]:
+            places[left[0]].pop()
+        del stack[k:]
+        return stack[-1][1:4] if stack else (False, False, False)
+
     at, n = 0, len(page)
     while at < n:
         m = TOKEN.search(page, at)
@@ -120,14 +128,13 @@ def _parse(page: str, wrappers: frozenset[int]) -> tuple[list[Block], frozenset[
         if m[1]:  # an end tag: leave everything up to its start, if it was opened
             if name == "a" and depth_a:
                 depth_a -= 1
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if name not in INLINE:
                 close()
-            if k is not None:
+            if open_at := places.get(name):
+                k = open_at[-1]
                 if any(s[0] not in INLINE or s[1] for s in stack[k:]):
                     close()
-                del stack[k:]
-                context = stack[-1][1:4] if stack else (False, False, False)
+                context = leave(k)
             continue
         if name in RAW and not m[0].endswith("/>"):
             end = None if name in unclosed else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
@@ -139,28 +146,35 @@ def _parse(page: str, wrappers: frozenset[int]) -> tuple[list[Block], frozenset[
             continue
         if name not in INLINE:
             close()
-            if name != "br" and stack and any(s[0] == "p" for s in stack):  # a paragraph ends where a block begins
-                k = max(i for i, s in enumerate(stack) if s[0] == "p")
-                if all(s[0] in INLINE for s in stack[k + 1 :]):
-                    del stack[k:]
-                    context = stack[-1][1:4] if stack else (False, False, False)
+            if name != "br" and (open_at := places.get("p")):  # a paragraph ends where a block begins, so only inline ones are open in it
+                context = leave(open_at[-1])
         if name in VOID:
             continue
         aside, by_words, main = _context(name, m[3], context[1], at in wrappers)
-        if name in MAIN and not aside and not any(s[5] for s in stack):
-            held.append((name == "main", frozenset(s[4] for s in stack if s[4] >= 0)))
+        innermost, by_itself = stack[-1][4:] if stack else (-1, 0)
+        if name in MAIN and not aside and not by_itself:
+            held.append((name == "main", innermost))
+        if by_words:
+            around[at] = innermost, 1 + (around[innermost][1] if innermost >= 0 else 0)
+            innermost = at
         if aside:
             close()
         if name == "a":
             depth_a += 1
         context = (context[0] or aside, context[1] or main, context[2] or bool(re.fullmatch("h[1-6]", name)))
-        stack.append((name, *context, at if by_words else -1, aside and not by_words))
+        places.setdefault(name, []).append(len(stack))
+        stack.append((name, *context, innermost, by_itself + (aside and not by_words)))
     close()
-    if any(not around for _, around in held) or any(b.main and not b.aside and not b.heading for b in out):
+    if any(innermost < 0 for _, innermost in held) or any(b.main and not b.aside and not b.heading for b in out):
         return out, frozenset()
-    mains = [around for is_main, around in held if is_main] or [around for _, around in held]
-    least = min(map(len, mains), default=0)
-    return out, frozenset().union(*(around for around in mains if len(around) == least))
+    mains = [innermost for is_main, innermost in held if is_main] or [innermost for _, innermost in held]
+    least = min((around[i][1] for i in mains), default=0)
+    found: set[int] = set()
+    for one in {i for i in mains if around[i][1] == least}:
+        while one >= 0 and one not in found:
+            found.add(one)
+            one = around[one][0]
+    return out, frozenset(found)
 
 
 def features(found: list[Block]) -> np.ndarray:

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -175,3 +176,16 @@ def test_labelled_urls_join_by_number(spark):
     pages = spark.createDataFrame([("http://h/en/12?page=2",), ("http://h/en/13.html#a",), ("http://h/14/",), ("http://h/en/x",), (None,)], "url string")
     labels = spark.createDataFrame([(12, 0, 0), (13, 1, 0), (14, 1, 1), (14, 1, None)], "doc_id long, quality int, toxic int")
     assert sorted(map(tuple, labelled_urls(pages, labels).collect())) == [("http://h/14/", True), ("http://h/en/12?page=2", True), ("http://h/en/13.html#a", False)]
+
+
+@pytest.mark.parametrize("page", ["<div>" * 50_000, "<div>" + "</p></section>" * 50_000, "<p>" + "<span>" * 50_000, "<div class=sidebar><article>" * 20_000])
+def test_broken_markup_takes_time_in_proportion(page):
+    """Unclosed and stray tags: eight times the page may take a small multiple of eight times the time, not 64 times."""
+
+    def seconds(text):
+        begun = time.process_time()
+        blocks(text + "end")
+        return time.process_time() - begun
+
+    small = page[: len(page) // 8]
+    assert seconds(page) < 24 * max(seconds(small), 0.02)
