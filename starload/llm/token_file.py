@@ -92,10 +92,10 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """One row per document in the files: its place, its number of ids, their checksum, and the ids of all documents before it.
 
-    Only image headers are summed: within a part by a window, over the parts (one row each) in one task.
+    Only image headers are summed: within a part by a window, over the parts (one row each) in one task. A worker holds one
+    Arrow batch of images, which ``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB) bounds, and one decoded image.
     """
     prepare(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
     images = spark.read.schema(IMAGES).parquet(path)
     heads = images.select("part", "image", "n_ids")
     parts = heads.groupBy("part").agg(F.sum("n_ids").alias("ids"))

@@ -158,3 +158,16 @@ def test_packing_leaves_little_padding(spark):
     pieces = pack(docs)
     assert padding(pieces).first().padding < 0.02
     assert pieces.agg(F.sum("length")).first()[0] == sum(len(_plain(r.text)) + 1 for r in docs.collect())
+
+
+def test_words_of_letters_and_a_mark_equal_the_library():
+    e = encoder(vocabulary_path())
+    for word in ["word", "word.", "Straße,", "ñandú!", "it's", "a1", "a..", "'s", "x\ny", "ʯ-", "б.", "ab²", "z'"]:
+        assert _ids(e.words[word]) == _plain(" " + word), word
+
+
+def test_reading_token_files_leaves_the_session_as_it_was(spark, workdir):
+    write_tokens(spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string"), f"{workdir}/s")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert read_tokens(spark, f"{workdir}/s").count() == 2
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
