@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from starload import specs
 from starload.operators import loading
+from starload.operators.cascade import cascade_replace
+from starload.operators.id_leases import IdLeases, assign_leased
 from starload.operators.id_store import IdStore
 from starload.plans import fixtures
 from starload.plans.cleaning_plans import HIRES_STEPS_SQL, _hires, dim_steps_sql
@@ -158,3 +160,56 @@ def id_store_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") + F.col("l_linenumber") * 3).cast("bigint").alias("id")).distinct()
     found = store.probe(named).withColumn("hit", F.lit(True))
     return named.join(found, "id", "left").select("id", F.coalesce("hit", F.lit(False)).alias("stored"))
+
+
+LEASE_BATCHES, LEASE_BLOCK = 3, 100
+
+_LEASED_SQL = f"""WITH RECURSIVE {_ACCEPTED_FACT_SQL.strip().removeprefix("WITH")},
+facts AS (SELECT _offset, id_int, _offset % {LEASE_BATCHES} AS batch FROM acc),
+per_batch AS (SELECT batch, COUNT(*) FILTER (WHERE id_int IS NULL) AS n, MAX(id_int) AS top FROM facts GROUP BY batch),
+stored AS (SELECT MAX(o_orderkey) + 1 AS first_id FROM orders),
+leased AS (
+  SELECT CAST(-1 AS BIGINT) AS batch, CAST(0 AS BIGINT) AS block, CAST(0 AS BIGINT) AS after
+  UNION ALL
+  SELECT b.batch, greatest(l.after, COALESCE((b.top - s.first_id) // {LEASE_BLOCK} + 1, 0)),
+         greatest(l.after, COALESCE((b.top - s.first_id) // {LEASE_BLOCK} + 1, 0)) + CAST(ceil(b.n / {LEASE_BLOCK}.0) AS BIGINT)
+  FROM leased l JOIN per_batch b ON b.batch = l.batch + 1 CROSS JOIN stored s
+)
+SELECT f._offset, f.batch, CAST(COALESCE(f.id_int, s.first_id + l.block * {LEASE_BLOCK}
+         + ROW_NUMBER() OVER (PARTITION BY f.batch, f.id_int IS NULL ORDER BY f._offset) - 1) AS BIGINT) AS id
+FROM facts f JOIN leased l ON l.batch = f.batch CROSS JOIN stored s"""
+
+
+@register("leased_ids", oracle=_LEASED_SQL, ids=("L4", "T3"))
+def leased_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted facts come in batches; each gets ids from blocks that it leases, the orders' ids being stored before. Every batch is
+    numbered a second time, as a replay does, when later batches have leased theirs; that second time is what is returned."""
+    path = scratch_path(spark, "lease-input")
+    loading.conform(accepted_facts(spark, sf_dir)).select("_offset", F.col("id").cast("bigint").alias("id")).write.parquet(path)
+    rows = spark.read.schema("_offset bigint, id bigint").parquet(path).withColumn("batch", F.pmod("_offset", F.lit(LEASE_BATCHES)).cast("bigint"))
+    leases = IdLeases(spark, scratch_path(spark, "leases"))
+    leases.begin(table(spark, sf_dir, "orders").agg(F.max("o_orderkey").alias("top")).first().top, LEASE_BLOCK)
+    number = lambda b: assign_leased(rows.where(F.col("batch") == b), leases, b, order=["_offset"])
+    for batch in range(LEASE_BATCHES):
+        number(batch)
+    out = number(0)
+    for batch in range(1, LEASE_BATCHES):
+        out = out.unionByName(number(batch))
+    return out.select("_offset", "batch", "id")
+
+
+@register(
+    "cascade_delta",
+    oracle="""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem
+WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 20 = 7 AND s_acctbal < 4000)
+  AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size = 50 AND p_partkey % 7 = 0)""",
+    ids=("L7",),
+)
+def cascade_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines are stored by supplier; some suppliers go, then some parts. Only files that hold a lost key are written again."""
+    path = scratch_path(spark, "cascade-fact")
+    table(spark, sf_dir, "lineitem").select(*_FACT_COLS).repartitionByRange("l_suppkey", "l_orderkey").write.parquet(path)
+    suppliers, parts = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal"), table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    cascade_replace(spark, path, {"l_suppkey": (suppliers, suppliers.where("not (s_suppkey % 20 = 7 and s_acctbal < 4000)"))})
+    cascade_replace(spark, path, {"l_partkey": (parts, parts.where("not (p_size = 50 and p_partkey % 7 = 0)"))})
+    return spark.read.parquet(path)

@@ -82,6 +82,50 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory())
 
 
+def list_files(spark: SparkSession, path: str, hidden: bool = False) -> list[str]:
+    """Names of the files directly in ``path``, those that readers of tables skip only if asked for (one listing call, no data)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return []
+    names = (s.getPath().getName() for s in fs.listStatus(hpath) if s.isFile())
+    return sorted(n for n in names if not n.startswith("." if hidden else ("_", ".")))
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Creates the file, unless it is there: the file system decides between writers. Meant for small files."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hpath.getParent())
+    if not text:
+        try:
+            return bool(fs.createNewFile(hpath))
+        except Exception:  # noqa: BLE001 - file systems tell a lost race by different errors
+            if fs.exists(hpath):
+                return False
+            raise
+    out = fs.create(hpath, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text, read by the driver."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    source = fs.open(hpath)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -104,6 +148,9 @@ __all__ = [
     "scratch_path",
     "path_exists",
     "list_dirs",
+    "list_files",
+    "create_new",
+    "read_text",
     "delete_path",
     "rename_path",
 ]

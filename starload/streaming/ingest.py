@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from starload import specs
 from starload.operators import ingest, loading, rejects, rules
+from starload.operators.id_leases import IdLeases, assign_leased
 from starload.operators.id_store import IdStore
 from starload.session import list_dirs, path_exists
 from starload.sources.envelope import parse_envelope
@@ -38,6 +39,7 @@ class IngestConfig:
     checkpoint: str          # streaming checkpoint (shared storage)
     as_of: dt.datetime | str | None = None   # validation clock; None = latest arrival in the batch
     dims_from: dict[str, str] = field(default_factory=dict)  # optional override of dim folders
+    id_leases: str | None = None  # ranges of ids leased by batch, so that no maximum over stored ids is looked for
     id_store: str | None = None  # stored ids by table, so that a batch's cost does not grow with what was stored before
 
 
@@ -140,7 +142,14 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: IngestConfig) -> None:
         for name, spec in specs.TABLES.items():
             accepted = checked.where(F.col("error_type").isNull() & (F.col("table") == name))
             rows = loading.conform(accepted.select("_offset", "payload"), spec)
-            if spec.id_optional:
+            if spec.id_optional and cfg.id_leases:
+                leases = IdLeases(spark, f"{cfg.id_leases}/{name}")
+                if not leases.begun():  # once: what was stored before the first lease
+                    key = targets[name].columns[0]
+                    before = stores[name].highest(before=batch_id) if stores else targets[name].agg(F.max(key).cast("bigint").alias("m")).first().m
+                    leases.begin(before or 0)
+                rows = assign_leased(rows, leases, batch_id, order=["_offset"])
+            elif spec.id_optional:
                 known = spark.createDataFrame([(stores[name].highest(before=batch_id),)], "id bigint") if stores else targets[name]
                 rows = loading.assign_ids(rows, order=["_offset"], stored_ids=known)
             out = rows.select(*spec.columns)

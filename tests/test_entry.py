@@ -18,7 +18,7 @@ EXPECTED = {
     "quarterly_pivot_year", "reject_log", "route_by_id", "rule_fk", "rule_id_range", "rule_id_unused",
     "rule_name_charset", "rule_name_length", "rule_not_future", "rule_required", "rule_ts_format",
     "sanitize_nested", "sanitize_text", "severity_map", "shorten_message", "split_accept_reject",
-    "burst_stream", "csv_split_records", "format_error", "id_store_probe", "profile_sample", "restore_without_ids", "stream_flush",
+    "burst_stream", "cascade_delta", "csv_split_records", "format_error", "id_store_probe", "leased_ids", "profile_sample", "restore_without_ids", "stream_flush",
     "star_join", "structure_check", "to_envelope", "unknown_table", "validate_fact",
 }
 

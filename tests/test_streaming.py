@@ -1,6 +1,8 @@
 import json
 from pathlib import Path
 
+import pytest
+
 from starload.operators import loading
 from starload.streaming import ingest as stream_ingest
 
@@ -129,8 +131,10 @@ def test_stream_bursts_equal_batch_and_late_calls_are_set_apart(spark, workdir):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before
 
 
-def test_a_replayed_batch_gives_the_same_rows(spark, workdir):
+@pytest.mark.parametrize("leased", [False, True])
+def test_a_replayed_batch_gives_the_same_rows(spark, workdir, leased):
     src, cfg = _setup(spark, f"{workdir}/replay", 1)
+    cfg.id_leases = f"{workdir}/leases" if leased else None
     msgs = _messages() + [
         {"key": "", "value": json.dumps({"table": "jobs", "payload": {"id": 3000000000, "name": "Too large"}}), "offset": 50},
         {"key": "", "value": json.dumps({"table": "jobs", "payload": {"name": "No id"}}), "offset": 51},
