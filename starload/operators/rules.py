@@ -1,9 +1,11 @@
 """Validation rules over JSON payloads (VARIANT), with ordered reason codes.
 
 One rule set per table (chosen from ``TableSpec``), evaluated as column expressions: no Python
-UDF, no per-row lookups. Existence checks (foreign keys, ids already stored) are left joins to
+UDF, no per-row lookups. What a record alone decides is worked out once per record and written to the
+shared folder; existence checks (foreign keys, ids already stored) read it back and are left joins to
 the distinct key sets, planned by Catalyst/AQE (broadcast when measured small, shuffle
-otherwise, skewed keys split).
+otherwise, skewed keys split). Records that ask for no key are dealt by their row number, so that those
+without an id do not meet in one task.
 
 Result per record: ``error_type`` (null when accepted), ``error_codes`` (array, rule order) and
 ``error_message`` (codes joined by ``"; "``).
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from starload import specs
 from starload.functions.parse import strict_timestamp
 from starload.functions.text import strip_ws
+from starload.session import scratch_path
 from starload.specs import TableSpec
 
 NUMERIC_TYPES = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
@@ -104,11 +107,16 @@ def extract(records: DataFrame, spec_by_table: dict[str, TableSpec] | None = Non
     return step2.select(*out)
 
 
+def _asked(asks: Column, key: Column) -> list[Column]:
+    """Join key of a record that may ask for ``key``: whether it does, and the key or else its row number."""
+    return [F.coalesce(asks, F.lit(False)), F.when(asks, key).otherwise(F.xxhash64("_row"))]
+
+
 def _exists_flag(df: DataFrame, keys: DataFrame, key_col: str, table: str, flag: str, table_col: str) -> DataFrame:
     """Left join to the distinct key set of ``table``; ``flag`` is true when the key is present."""
-    k = keys.select(F.col(keys.columns[0]).cast("bigint").alias("_k")).distinct().withColumn(flag, F.lit(True))
-    cond = (F.col(table_col) == F.lit(table)) & (F.col(key_col) == F.col("_k"))
-    j = df.join(k, cond, "left").drop("_k")
+    k = keys.select(F.col(keys.columns[0]).cast("bigint").alias("_k")).where("_k is not null").distinct().withColumn(flag, F.lit(True))
+    asks, key = _asked((F.col(table_col) == F.lit(table)) & F.col(key_col).isNotNull(), F.col(key_col))
+    j = df.join(k, (asks == F.col(flag)) & (key == F.col("_k")), "left").drop("_k")
     return j.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
@@ -118,7 +126,7 @@ def _stored_flag(df: DataFrame, targets: dict[str, DataFrame], key_col: str, tab
     The stored ids are probed by a semi-join with the records' distinct ids, so a small batch never
     makes the target tables distinct or shuffles them when Spark can broadcast the batch's side.
     """
-    wanted = df.select(F.col(table_col).alias("_wt"), F.col(key_col).alias("_wk")).where("_wk is not null").distinct()
+    wanted = df.select(F.col(table_col).alias("_wt"), F.col(key_col).alias("_wk")).where("_wt is not null and _wk is not null").distinct()
     parts = [
         t.select(F.lit(name).alias("_tk"), F.col(t.columns[0]).cast("bigint").alias("_k"))
         for name, t in targets.items()
@@ -128,11 +136,51 @@ def _stored_flag(df: DataFrame, targets: dict[str, DataFrame], key_col: str, tab
         stored = stored.unionByName(p)
     stored = stored.join(wanted, (F.col("_tk") == F.col("_wt")) & (F.col("_k") == F.col("_wk")), "left_semi")
     stored = stored.distinct().withColumn("_hit_stored", F.lit(True))
-    cond = (F.col(table_col) == F.col("_tk")) & (F.col(key_col) == F.col("_k"))
+    asks, key = _asked(F.col(table_col).isNotNull() & F.col(key_col).isNotNull(), F.col(key_col))
+    cond = (asks == F.col("_hit_stored")) & (F.coalesce(F.col(table_col), F.lit("")) == F.col("_tk")) & (key == F.col("_k"))
     j = df.join(stored, cond, "left").drop("_tk", "_k")
     return j.withColumn("_hit_stored", F.coalesce(F.col("_hit_stored"), F.lit(False)))
 
 
+def _alone(records: DataFrame, spec_by_table: dict[str, TableSpec], as_of: Column, table_col: str, payload: str) -> DataFrame:
+    """What a record alone decides, written once and read back: the required fields that are missing, the codes of name and
+    timestamp, whether the rules stop there, the keys that it names, and a row number."""
+    df = extract(records, spec_by_table, payload)
+    t = F.col(table_col)
+    by_table: dict[str, list[Column]] = {"_missing": [], "_parts": [], "_stop": [], "_present": []}
+    for s in spec_by_table.values():
+        missing = _codes(*[F.when(F.col(f"_falsy_{f}"), F.lit(f"REQUIRED({f})")) for f in s.required])
+        name = F.col(f"_txt_{s.name_column}")
+        name_code = (
+            F.when(F.length(name) < specs.NAME_MIN_LENGTH, F.lit("NAME_SHORT"))
+            .when(F.length(name) > specs.NAME_MAX_LENGTH, F.lit("NAME_LONG"))
+            .when(~name.rlike("(?U)" + specs.NAME_CHARSET), F.lit("NAME_CHARSET"))
+        )
+        parts = [name_code]
+        stop = F.lit(False)
+        if s.ts_column:
+            ts_code = (
+                F.when(F.col(f"_t_{s.ts_column}") != "STRING", F.lit("TS_TYPE"))
+                .when(F.col(f"_ts_{s.ts_column}").isNull(), F.lit("TS_FORMAT"))
+                .when(F.col(f"_ts_{s.ts_column}") > as_of, F.lit("TS_FUTURE"))
+            )
+            parts.append(ts_code)
+            stop = F.coalesce(ts_code.isin("TS_TYPE", "TS_FORMAT"), F.lit(False))
+        present = F.col(f"_v_{s.key}").isNotNull() & (F.col(f"_t_{s.key}") != "VOID")
+        for column, value in (("_missing", missing), ("_parts", _codes(*parts)), ("_stop", stop), ("_present", present)):
+            by_table[column].append(F.when(t == s.name, value))
+    ints = sorted({r.column for s in spec_by_table.values() for r in s.refs} | {s.key for s in spec_by_table.values()})
+    judged = df.select(
+        *records.columns,
+        *[F.coalesce(*values).alias(column) for column, values in by_table.items()],
+        *[F.col(f"_int_{f}") for f in ints],
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    path = scratch_path(records.sparkSession, "judged")
+    judged.write.parquet(path)
+    return records.sparkSession.read.schema(judged.schema).parquet(path)
+
+
 def validate(
     records: DataFrame,
     *,
@@ -149,7 +197,7 @@ def validate(
     foreign-key rule); ``targets`` maps a target table to its stored ids (for the id rule).
     """
     spec_by_table = spec_by_table or specs.TABLES
-    df = extract(records, spec_by_table, payload)
+    df = _alone(records, spec_by_table, _ts_literal(as_of), table_col, payload)
     # existence flags, one left join per key set
     for s in spec_by_table.values():
         for r in s.refs:
@@ -159,28 +207,9 @@ def validate(
         assert len(key_cols) == 1, "one id column name across tables"
         df = _stored_flag(df, targets, f"_int_{key_cols.pop()}", table_col)
     t = F.col(table_col)
-    as_of_lit = _ts_literal(as_of)
 
-    missing_expr = None
     codes_expr = None
     for s in spec_by_table.values():
-        missing = _codes(*[F.when(F.col(f"_falsy_{f}"), F.lit(f"REQUIRED({f})")) for f in s.required])
-        name = F.col(f"_txt_{s.name_column}")
-        name_code = (
-            F.when(F.length(name) < specs.NAME_MIN_LENGTH, F.lit("NAME_SHORT"))
-            .when(F.length(name) > specs.NAME_MAX_LENGTH, F.lit("NAME_LONG"))
-            .when(~name.rlike("(?U)" + specs.NAME_CHARSET), F.lit("NAME_CHARSET"))
-        )
-        parts = [name_code]
-        stop = F.lit(False)
-        if s.ts_column:
-            ts_code = (
-                F.when(F.col(f"_t_{s.ts_column}") != "STRING", F.lit("TS_TYPE"))
-                .when(F.col(f"_ts_{s.ts_column}").isNull(), F.lit("TS_FORMAT"))
-                .when(F.col(f"_ts_{s.ts_column}") > as_of_lit, F.lit("TS_FUTURE"))
-            )
-            parts.append(ts_code)
-            stop = F.coalesce(ts_code.isin("TS_TYPE", "TS_FORMAT"), F.lit(False))
         tail = []
         for r in s.refs:
             v = F.col(f"_int_{r.column}")
@@ -189,21 +218,18 @@ def validate(
                 .when(v <= 0, F.lit(f"FK_POSITIVE({r.column})"))
                 .when(~F.col(f"_hit_{s.name}_{r.column}"), F.lit(f"FK_MISSING({r.column})"))
             )
-        idv = F.col(f"_v_{s.key}")
         idi = F.col(f"_int_{s.key}")
-        present = idv.isNotNull() & (F.col(f"_t_{s.key}") != "VOID")
         out_of_range = (idi <= 0) | (idi > s.id_max) if s.id_max is not None else (idi <= 0)
         hit = F.col("_hit_stored") if s.name in targets else F.lit(False)
         tail.append(
-            F.when(present & idi.isNull(), F.lit("ID_INTEGER"))
-            .when(present & out_of_range, F.lit("ID_RANGE" if s.id_max is not None else "ID_POSITIVE"))
-            .when(present & hit, F.lit("ID_EXISTS"))
+            F.when(F.col("_present") & idi.isNull(), F.lit("ID_INTEGER"))
+            .when(F.col("_present") & out_of_range, F.lit("ID_RANGE" if s.id_max is not None else "ID_POSITIVE"))
+            .when(F.col("_present") & hit, F.lit("ID_EXISTS"))
         )
-        codes = F.when(stop, _codes(*parts)).otherwise(_codes(*parts, *tail))
-        missing_expr = (F.when(t == s.name, missing) if missing_expr is None else missing_expr.when(t == s.name, missing))
+        codes = F.when(F.col("_stop"), F.col("_parts")).otherwise(F.concat("_parts", _codes(*tail)))
         codes_expr = (F.when(t == s.name, codes) if codes_expr is None else codes_expr.when(t == s.name, codes))
     empty = F.array().cast("array<string>")
-    df = df.withColumn("_missing", F.coalesce(missing_expr, empty)).withColumn("_codes", F.coalesce(codes_expr, empty))
+    df = df.withColumn("_missing", F.coalesce("_missing", empty)).withColumn("_codes", F.coalesce(codes_expr, empty))
     known = F.coalesce(t.isin(*spec_by_table), F.lit(False))
     error_type = (
         F.when(~known, F.lit(specs.UNKNOWN_TABLE))
@@ -241,9 +267,10 @@ def flag_in_batch_duplicates(
     """
     orders = [order] if isinstance(order, str) else list(order)
     elig = F.col("error_type").isNull() & F.col("_payload_id").isNotNull()
-    keys = [*batch_cols, table_col, "_payload_id"]
-    first = validated.where(elig).groupBy(*[F.col(k).alias(f"_first_{k}") for k in keys]).agg(F.min(F.struct(*orders)).alias("_first"))
-    on = elig
+    keys = [*batch_cols, table_col]
+    first = validated.where(elig).groupBy(*[F.col(k).alias(f"_first_{k}") for k in (*keys, "_payload_id")]).agg(F.min(F.struct(*orders)).alias("_first"))
+    # records that can repeat nothing are dealt by their place, so that all those without an id do not meet in one task
+    on = (elig == F.lit(True)) & (F.when(elig, F.col("_payload_id")).otherwise(F.xxhash64(*orders)) == F.col("_first__payload_id"))
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"_first_{k}"))
     joined = validated.join(first, on, "left")

@@ -48,7 +48,10 @@ def log_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reject log, appended to a store in two writes by parity of the message, and read back."""
-    path, log = scratch_path(spark, "reject-log"), reject_log(spark, sf_dir)
+    path, checked = scratch_path(spark, "reject-log"), scratch_path(spark, "checked-log")
+    found = reject_log(spark, sf_dir)
+    found.write.parquet(checked)  # checked once for both writes
+    log = spark.read.schema(found.schema).parquet(checked)
     rejects.append_log(log.where("id % 2 = 0"), path)
     rejects.append_log(log.where("id % 2 = 1"), path)
     return rejects.stored_log(spark, path)

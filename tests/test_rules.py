@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from starload.operators import ingest
 
@@ -94,3 +95,27 @@ def test_accepted_plus_rejected_is_input(checked):
     acc = sum(1 for r in checked.values() if r["error_type"] is None)
     rej = sum(1 for r in checked.values() if r["error_type"] is not None)
     assert acc + rej == len(checked)
+
+
+def _hires(spark, n):
+    payload = '\'{"table":"hired_employees","payload":{"name":"Ana Gil","datetime":"2023-01-01T10:00:00","department_id":1,"job_id":1}}\''
+    return spark.range(n).selectExpr("id AS _offset", "0L AS batch_id", f"{payload} AS value")
+
+
+def test_messages_are_read_once_and_records_without_id_spread(spark):
+    from starload.operators.ingest import check_messages
+
+    ids = spark.createDataFrame([(1,), (None,)], "id bigint")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(before, ("-1", "false"), strict=True):
+            spark.conf.set(k, v)
+        tables = {"departments": ids, "jobs": ids}
+        checked = check_messages(_hires(spark, 2000), dims=tables, targets={**tables, "hired_employees": ids}, as_of="2025-01-01 00:00:00")
+        assert "parse_json" not in checked._jdf.queryExecution().optimizedPlan().toString()
+        per_task = [r["count"] for r in checked.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(per_task) == 2000 and max(per_task) < 1000
+        assert checked.where("error_type is not null").count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
