@@ -64,7 +64,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUEUE_PARTITIONS, FLUSHED = 4, 1000
+QUEUE_PARTITIONS, FLUSHED, FLUSHES_AT_ONCE = 4, 1000, 1000
 
 _FLUSH_SQL = f"""
 WITH m AS (SELECT event_id, user_id % {QUEUE_PARTITIONS} AS p, row_number() OVER (PARTITION BY user_id % {QUEUE_PARTITIONS} ORDER BY event_id) - 1 AS o FROM events WHERE event_id % 7 <> 0),
@@ -77,7 +77,7 @@ FROM r GROUP BY n // {FLUSHED}"""
 @register("stream_flush", oracle=_FLUSH_SQL, ids=("T2", "S12", "S13"))
 def stream_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as messages of a queue, consumed until it is empty: batches of exactly 1000 in the order of arrival, and a last one that
-    goes because its oldest message has waited for two seconds."""
+    goes because its oldest message has waited for two seconds. A micro-batch holds up to a thousand of them, each row with its own's number."""
     root = scratch_path(spark, "queue")
     events = table(spark, sf_dir, "events").where("event_id % 7 <> 0").select((F.col("user_id") % QUEUE_PARTITIONS).cast("int").alias("queue_partition"), "event_id")
     placed = loading.positions(events, ["queue_partition", "event_id"])
@@ -89,17 +89,18 @@ def stream_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").cast("string").alias("key"), envelope.alias("value"), "queue_partition", offset.alias("offset"), arrived.alias("arrived_ms")
     )
     queue.publish(messages, f"{root}/messages")
-    source = queue.queue_source(spark, f"{root}/messages", max_records=FLUSHED)
+    source = queue.queue_source(spark, f"{root}/messages", max_records=FLUSHED, max_batches=FLUSHES_AT_ONCE)
 
     def flush(batch: DataFrame, batch_id: int) -> None:
-        batch.select("key", "_offset.partition").write.mode("overwrite").parquet(f"{root}/flushed/batch_id={batch_id}")
+        few = batch.coalesce(spark.sparkContext.defaultParallelism)  # the queue's segments are small
+        few.select("key", "_offset.partition", "flush").write.mode("overwrite").parquet(f"{root}/flushed/trigger={batch_id}")
 
     query = source.writeStream.option("checkpointLocation", f"{root}/checkpoint").foreachBatch(flush).trigger(processingTime="0 seconds").start()
     try:
         query.processAllAvailable()
     finally:
         query.stop()
-    batches = spark.read.parquet(f"{root}/flushed").groupBy(F.col("batch_id").cast("bigint").alias("batch_id"))
+    batches = spark.read.parquet(f"{root}/flushed").groupBy(F.col("flush").alias("batch_id"))
     out = batches.agg(F.count("*").alias("records"), F.countDistinct("partition").alias("queue_partitions"), F.sum(F.col("key").cast("bigint")).alias("ids"))
     return out.withColumn("flushed_by", F.when(F.col("records") == FLUSHED, "count").otherwise("age"))
 

@@ -4,7 +4,9 @@ The consumer's flush rule is: hand on a batch as soon as ``max_records`` message
 ``max_seconds``. A trigger interval can't say that, and a cap a trigger alone never waits for a batch to fill. Here the
 source itself admits messages: asked for its latest offset it lists what waits, takes exactly ``max_records`` in the order of
 arrival if there are as many, all if the oldest is old enough, and else answers with the offset it gave before, so that no
-batch runs.
+batch runs. One micro-batch a flush costs a backlog of millions of messages a micro-batch and a listing for every thousand, so
+``max_batches`` lets one micro-batch hold as many full flushes as wait, up to that number. Each still has exactly ``max_records``
+in the order of arrival; the column ``flush`` says which one a message belongs to, counted from the queue's first.
 
 A queue has partitions with dense offsets of their own. A segment is a Parquet file of consecutive messages, whose name
 tells its first and last offset and when it arrived, so batches are planned from listings alone:
@@ -34,6 +36,8 @@ from starload import specs
 
 SEGMENT, BLOCK = 1000, 100_000
 NAME = "starload_queue"
+#: In an offset, beside the partitions' own: the flushes before it.
+FLUSHES = "flushes"
 SCHEMA = "key string, value string, queue_partition int, offset long, arrived_ms long"
 
 
@@ -121,11 +125,12 @@ class SegmentRange(InputPartition):
     first: int
     begin: int
     end: int
+    flush: int | None = None
 
 
 class QueueReader(DataSourceStreamReader):
-    def __init__(self, queue: str, max_records: int, max_seconds: float) -> None:
-        self.queue, self.max_records, self.max_seconds = queue, max_records, max_seconds
+    def __init__(self, queue: str, max_records: int, max_seconds: float, max_batches: int = 1) -> None:
+        self.queue, self.max_records, self.max_seconds, self.max_batches = queue, max_records, max_seconds, max_batches
         self.at: dict[str, int] | None = None  # the last offset given, or the checkpoint's one after a start
 
     def _now_ms(self) -> float:
@@ -147,7 +152,10 @@ class QueueReader(DataSourceStreamReader):
         total = sum(end - begin for _, _, begin, end in waiting)
         if not waiting or (total < self.max_records and now_ms - waiting[0][0] < self.max_seconds * 1000):
             return at
-        out, room = dict(at), self.max_records
+        full = max(1, min(self.max_batches, total // self.max_records))
+        out, room = dict(at), self.max_records * full
+        if self.max_batches > 1:
+            out[FLUSHES] = at.get(FLUSHES, 0) + full
         for _, p, begin, end in waiting:
             taken = min(room, end - begin)
             if taken:
@@ -163,40 +171,66 @@ class QueueReader(DataSourceStreamReader):
         if self.at is None:  # a query that starts again tells the offset that it has reached
             self.at = dict(end)
         fs, root = _store(self.queue)
-        out = []
-        for p, stop in sorted(end.items()):
-            begin = start.get(p, 0)
+        out, order = [], []
+        for p, stop in sorted((p, stop) for p, stop in end.items() if p != FLUSHES):
+            begin, arrived = start.get(p, 0), 0
             for s in segments(fs, root, int(p), begin) if stop > begin else []:
                 if s.first < stop:
+                    arrived = max(arrived, s.arrived_ms)
                     out.append(SegmentRange(s.path(root), s.first, max(s.first, begin), min(s.last + 1, stop)))
+                    order.append((arrived, int(p), out[-1].begin))
                     begin = s.last + 1
+        if self.max_batches == 1:
+            return out
+        return self._flushes([r for _, r in sorted(zip(order, out, strict=True), key=lambda x: x[0])], start.get(FLUSHES, 0))
+
+    def _flushes(self, ranges: list[SegmentRange], flush: int) -> list[SegmentRange]:
+        """Ranges in the order of arrival, cut where a flush is full."""
+        out, room = [], self.max_records
+        for r in ranges:
+            begin = r.begin
+            while begin < r.end:
+                if not room:
+                    flush, room = flush + 1, self.max_records
+                taken = min(room, r.end - begin)
+                out.append(SegmentRange(r.path, r.first, begin, begin + taken, flush))
+                begin, room = begin + taken, room - taken
         return out
 
     def read(self, partition: SegmentRange) -> Iterator[pa.RecordBatch]:
         fs, _ = _store(self.queue)
         table = pq.read_table(partition.path, filesystem=fs, columns=[f.split()[0] for f in SCHEMA.split(", ")])
-        yield from table.slice(partition.begin - partition.first, partition.end - partition.begin).combine_chunks().to_batches()
+        part = table.slice(partition.begin - partition.first, partition.end - partition.begin).combine_chunks()
+        yield from part.append_column("flush", pa.array([partition.flush] * part.num_rows, pa.int64())).to_batches()
 
     def commit(self, end: dict) -> None:
         """Segments stay: other queries may read them."""
 
 
 class QueueSource(DataSource):
-    """Options: ``path`` of the queue, ``maxRecords`` and ``maxSeconds`` of the flush rule."""
+    """Options: ``path`` of the queue, ``maxRecords`` and ``maxSeconds`` of the flush rule, ``maxBatches`` of a micro-batch."""
 
     @classmethod
     def name(cls) -> str:
         return NAME
 
     def schema(self) -> str:
-        return SCHEMA
+        return SCHEMA + ", flush long"
 
     def streamReader(self, schema) -> QueueReader:
-        return QueueReader(self.options["path"], int(self.options.get("maxRecords", specs.FLUSH_RECORDS)), float(self.options.get("maxSeconds", specs.FLUSH_SECONDS)))
+        o = self.options
+        return QueueReader(
+            o["path"], int(o.get("maxRecords", specs.FLUSH_RECORDS)), float(o.get("maxSeconds", specs.FLUSH_SECONDS)), int(o.get("maxBatches", 1))
+        )
 
 
-def queue_source(spark: SparkSession, queue: str, max_records: int = specs.FLUSH_RECORDS, max_seconds: float = specs.FLUSH_SECONDS) -> DataFrame:
-    """Messages as a stream with the columns that ``ingest`` takes from any source: key, value, _offset, arrived."""
+def queue_source(
+    spark: SparkSession, queue: str, max_records: int = specs.FLUSH_RECORDS, max_seconds: float = specs.FLUSH_SECONDS, max_batches: int = 1
+) -> DataFrame:
+    """Messages as a stream with the columns that ``ingest`` takes from any source: key, value, _offset, arrived. With ``max_batches``
+    over one also ``flush``: a micro-batch then holds that many full flushes at most."""
     spark.dataSource.register(QueueSource)
-    raw = spark.readStream.format(NAME).option("maxRecords", str(max_records)).option("maxSeconds", str(max_seconds)).load(queue)
-    return raw.select("key", "value", F.struct(F.col("queue_partition").alias("partition"), "offset").alias("_offset"), F.timestamp_millis("arrived_ms").cast("timestamp_ntz").alias("arrived"))
+    rule = {"maxRecords": str(max_records), "maxSeconds": str(max_seconds), "maxBatches": str(max_batches)}
+    raw = spark.readStream.format(NAME).options(**rule).load(queue)
+    flush = ["flush"] if max_batches > 1 else []
+    return raw.select("key", "value", F.struct(F.col("queue_partition").alias("partition"), "offset").alias("_offset"), F.timestamp_millis("arrived_ms").cast("timestamp_ntz").alias("arrived"), *flush)

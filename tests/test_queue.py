@@ -90,3 +90,23 @@ def test_messages_of_the_queue_are_ingested(spark, workdir):
     assert sorted((r.batch_id, r.id) for r in loaded.select("batch_id", "id").collect()) == [(0, 100 + k) for k in range(25)] + [(1, 125 + k) for k in range(5)]
     errors = [r.error_type for r in spark.read.parquet(f"{workdir}/rejects").where("error_type <> 'BATCH_SUMMARY'").collect()]
     assert errors == ["VALIDATION_ERROR"] * 10  # ids that the first batch has stored
+
+
+def test_a_micro_batch_holds_the_full_flushes_that_wait(spark, workdir):
+    root, now = f"{workdir}/q", 10_000_000
+    _publish(spark, root, 0, range(130), now - 500)
+    _publish(spark, root, 1, range(120), now - 600)
+    reader = QueueReader(root, max_records=100, max_seconds=2, max_batches=5)
+    first = reader.admitted({}, now)
+    assert first == {"1": 120, "0": 80, "flushes": 2} and reader.admitted(first, now) == first  # the last fifty are too young
+    assert [(p.flush, p.begin, p.end) for p in reader.partitions({}, first)] == [(0, 0, 100), (1, 100, 120), (1, 0, 80)]
+    last = reader.admitted(first, now + 5000)
+    assert last == {"1": 120, "0": 130, "flushes": 3} and [(p.flush, p.begin, p.end) for p in reader.partitions(first, last)] == [(2, 80, 130)]
+    got = {}
+    q = queue_source(spark, root, max_records=100, max_batches=2).writeStream.option("checkpointLocation", f"{workdir}/ck")
+    q = q.foreachBatch(lambda df, b: got.update({b: sorted((r.flush, r["count"]) for r in df.groupBy("flush").count().collect())})).trigger(processingTime="0 seconds").start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert got == {0: [(0, 100), (1, 100)], 1: [(2, 50)]}
