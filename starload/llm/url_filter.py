@@ -8,8 +8,9 @@ one costs one look-up.
 
 Combinations grow with two to the power of the tokens that go together, so the mining is given less to combine, by rules that
 hold at every size: tokens on fewer than ``LEAST`` bad URLs can be in no rule and go; of tokens that are on just the same
-URLs one stands for all; and of what a URL has left, its ``TOKENS`` most telling ones are combined (highest share of bad URLs, then
-most URLs). The last is a documented bound of the fit: a labelled URL adds to 2 ** ``TOKENS`` combinations at most.
+URLs one stands for all. What is left is combined whole. If some URL has more than ``TOKENS`` tokens left, FP-growth, which lists
+every frequent combination, could list too many; the same rules are then found size by size (``_by_size``): a combination that
+is a rule, or is on just the URLs of a smaller one, is not grown further, for what it grows into is no least rule.
 
 Defined results: a null url, or one without ``://``, has an empty host and path and is allowed unless a rule says else;
 repeated rows and null ids keep their rows; with fewer than ``LEAST`` bad URLs nothing is mined; empty tables give no rows; other
@@ -30,7 +31,7 @@ from starload.llm.common import prepare, staged
 Rule = tuple[str, str, str]
 #: Share of all labelled URLs that have the tokens and the label; share of those with the tokens that have the label.
 MIN_SUPPORT, MIN_CONFIDENCE = 0.005, 0.8
-#: Fewest bad URLs that a rule rests on, and tokens of a labelled URL that are combined.
+#: Fewest bad URLs that a rule rests on, and the most tokens of a labelled URL with which FP-growth lists all combinations.
 LEAST, TOKENS = 20, 12
 BAD = "label=bad"
 
@@ -71,28 +72,62 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     needed = max(least, min_support * n)
     if urls.where("bad").count() < needed:
         return labelled.sparkSession.createDataFrame([], "antecedent array<string>, key string, confidence double, support double")
-    model = FPGrowth(itemsCol="items", minSupport=needed / n, minConfidence=min_confidence).fit(_transactions(urls, needed))
-    rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD))).select("antecedent", "confidence", "support")
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("key"), "freq")
+    told, single = _telling(urls, needed)
+    widest = told.groupBy("row").count().agg(F.max("count").alias("w")).first().w
+    if (widest or 0) > TOKENS:
+        rules = _by_size(told, n, needed, min_confidence)
+    else:
+        model = FPGrowth(itemsCol="items", minSupport=needed / n, minConfidence=min_confidence).fit(_transactions(urls, told))
+        rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD))).select("antecedent", "confidence", "support")
     each = rules.withColumn("key", F.explode("antecedent")).join(single, "key")
     keyed = each.groupBy("antecedent").agg(F.min(F.struct("freq", "key")).alias("rarest"), F.max("confidence").alias("confidence"), F.max("support").alias("support"))
     found = staged(keyed.select("antecedent", F.col("rarest.key").alias("key"), "confidence", "support"), "url-rules-found")
     return staged(_least_of(found), "url-rules")
 
 
-def _transactions(urls: DataFrame, needed: float) -> DataFrame:
-    """Items of each labelled URL: its telling tokens, and the label if it is bad. URLs without either count too."""
+def _telling(urls: DataFrame, needed: float) -> tuple[DataFrame, DataFrame]:
+    """(row, bad, token) of the tokens that may be in a rule, one for those on just the same URLs; and (key, freq) of each."""
     each = urls.select("row", "bad", F.explode("tokens").alias("token"))
     on = [F.bit_xor(F.xxhash64("row")), F.bit_xor(F.xxhash64(F.lit("row"), "row"))]
     counts = each.groupBy("token").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("n_bad"), *[x.alias(f"on{i}") for i, x in enumerate(on)])
     one = counts.where(F.col("n_bad") >= needed).groupBy("n", "n_bad", "on0", "on1").agg(F.min("token").alias("token"))
-    told = each.join(staged(one, "telling-tokens"), "token")
-    ranked = F.sort_array(F.collect_list(F.struct((-F.col("n_bad") / F.col("n")).alias("good"), (-F.col("n")).alias("few"), "token")))
-    best = told.groupBy("row").agg(F.slice(ranked, 1, TOKENS).getField("token").alias("best"))
+    one = staged(one, "telling-tokens")
+    return staged(each.join(one.select("token"), "token"), "told"), one.select(F.col("token").alias("key"), F.col("n").alias("freq"))
+
+
+def _transactions(urls: DataFrame, told: DataFrame) -> DataFrame:
+    """Items of each labelled URL: its telling tokens, and the label if it is bad. URLs without either count too."""
+    has = told.groupBy("row").agg(F.collect_list("token").alias("has"))
     nothing = F.array().cast("array<string>")
     # items are sorted, so that the mined rules do not depend on the order in which rows are met
-    items = F.array_sort(F.concat(F.coalesce("best", nothing), F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(nothing)))
-    return staged(urls.drop("tokens").join(best, "row", "left").select(items.alias("items")), "transactions")
+    items = F.array_sort(F.concat(F.coalesce("has", nothing), F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(nothing)))
+    return staged(urls.drop("tokens").join(has, "row", "left").select(items.alias("items")), "transactions")
+
+
+def _by_size(told: DataFrame, n: int, needed: float, min_confidence: float) -> DataFrame:
+    """(antecedent, confidence, support) of the least rules. Each size is counted over the URLs that hold a combination one smaller which
+    is frequent among bad ones, no rule, and on fewer URLs than its parts; all parts of a larger one must be such."""
+    rows = told.groupBy("row", "bad").agg(F.sort_array(F.collect_list("token")).alias("items"))
+    alike = rows.groupBy("items").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("n_bad"))
+    grown = alike.select("items", "n", "n_bad", F.explode("items").alias("token")).withColumn("antecedent", F.array("token")).drop("token")
+    rules, live, size = None, None, 1
+    while True:
+        grown = staged(grown, "grown")
+        counts = grown.groupBy("antecedent").agg(F.sum("n").alias("n"), F.sum("n_bad").alias("n_bad")).where(F.col("n_bad") >= needed)
+        if live is not None:
+            part = F.explode(F.transform("antecedent", lambda x: F.array_remove("antecedent", x)))
+            parts = counts.select("antecedent", "n", "n_bad", part.alias("part")).join(live.select(F.col("antecedent").alias("part"), F.col("n").alias("n_part")), "part")
+            counts = parts.where("n < n_part").groupBy("antecedent", "n", "n_bad").agg(F.count("*").alias("parts")).where(F.col("parts") == size).drop("parts")
+        counts = staged(counts.withColumn("confidence", F.col("n_bad") / F.col("n")), "combinations")
+        here = counts.where(F.col("confidence") >= min_confidence).select("antecedent", "confidence", (F.col("n_bad") / F.lit(n)).alias("support"))
+        rules = here if rules is None else rules.unionByName(here)
+        live = counts.where(F.col("confidence") < min_confidence)
+        if live.isEmpty():
+            return rules
+        more = F.explode(F.filter("items", lambda x: x > F.element_at("antecedent", -1)))
+        held = grown.join(live.select("antecedent"), "antecedent").select("items", "n", "n_bad", "antecedent", more.alias("token"))
+        grown = held.select("items", "n", "n_bad", F.concat("antecedent", F.array("token")).alias("antecedent"))
+        size += 1
 
 
 def _least_of(rules: DataFrame) -> DataFrame:

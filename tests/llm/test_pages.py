@@ -189,3 +189,14 @@ def test_broken_markup_takes_time_in_proportion(page):
 
     small = page[: len(page) // 8]
     assert seconds(page) < 24 * max(seconds(small), 0.02)
+
+
+def test_rules_of_urls_with_many_tokens(spark):
+    url = lambda *names: "http://a.b/?" + "&".join(names)
+    decoys = [f"d{i:02d}" for i in range(14)]  # each mostly on bad URLs, more so than x and y
+    bad = [(url("x", "y", *(d for k, d in enumerate(decoys) if k != i % 14)), True) for i in range(42)]
+    good = [(url(t), False) for t in ("x", "y") for _ in range(30)] + [(url(d), False) for d in decoys for _ in range(15)]
+    labelled = spark.createDataFrame(bad + good, "url string, bad boolean")
+    found = {frozenset(r.antecedent): r.confidence for r in mine(labelled).collect()}
+    assert found[frozenset({"query=x", "query=y"})] == 1.0
+    assert len(found) == 16 * 15 // 2 and all(len(r) == 2 for r in found)  # any two tokens are on bad URLs only
