@@ -136,9 +136,8 @@ def _flag_present(fact: DataFrame, fk: str, dim_ids: DataFrame, flag: str) -> Da
     return j.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
-def orphans(fact: DataFrame, refs: dict[str, DataFrame]) -> DataFrame:
-    """Fact rows with a foreign key absent from its dimension; ``orphan_column`` names the
-    first such key (in ``refs`` order)."""
+def mark_orphans(fact: DataFrame, refs: dict[str, DataFrame]) -> DataFrame:
+    """All fact rows; ``orphan_column`` names the first foreign key (in ``refs`` order) that is absent from its dimension, if any."""
     flagged = fact
     flags = []
     for i, (fk, dim_ids) in enumerate(refs.items()):
@@ -148,8 +147,12 @@ def orphans(fact: DataFrame, refs: dict[str, DataFrame]) -> DataFrame:
     reason = None
     for fk, flag in flags:
         reason = F.when(~F.col(flag), F.lit(fk)) if reason is None else reason.when(~F.col(flag), F.lit(fk))
-    out = flagged.withColumn("orphan_column", reason)
-    return out.where(F.col("orphan_column").isNotNull()).select(*fact.columns, "orphan_column")
+    return flagged.withColumn("orphan_column", reason).select(*fact.columns, "orphan_column")
+
+
+def orphans(fact: DataFrame, refs: dict[str, DataFrame]) -> DataFrame:
+    """Fact rows with a foreign key absent from its dimension, named by ``orphan_column``."""
+    return mark_orphans(fact, refs).where(F.col("orphan_column").isNotNull())
 
 
 def cascade_keep(fact: DataFrame, refs: dict[str, DataFrame]) -> DataFrame:
@@ -232,8 +235,10 @@ def full_load(
                 refs = {
                     r.column: spark.read.parquet(f"{target_dir}/{r.table}").select(r.key) for r in spec.refs
                 }
-                orph = orphans(kept, refs)
-                kept = cascade_keep(kept, refs)
+                # kept rows and orphans are what one pass over the dimensions' keys tells apart, written once
+                marked = stage(mark_orphans(kept, refs), f"{target_dir}/_staging/{name}_marked")
+                orph = marked.where(F.col("orphan_column").isNotNull())
+                kept = marked.where(F.col("orphan_column").isNull()).select(*spec.columns)
                 dropped = dropped.unionByName(
                     orph.select(
                         F.concat(F.lit("orphan:"), F.col("orphan_column")).alias("reason"),

@@ -97,3 +97,11 @@ def test_positions_of_a_wide_frame_are_dense(spark, workdir):
         assert tuple(r.first()) == (n, 0)
         new = spark.read.parquet(f"{workdir}/i-{reuse}").where("x <> 0").agg(F.count_distinct("id").alias("d"), F.min("id"), F.max("id"), F.count("*").alias("n")).first()
         assert new.d == new.n and new[2] - new[1] + 1 == new.n
+
+
+def test_one_pass_tells_kept_rows_from_orphans(spark):
+    fact = spark.createDataFrame([(1, 1, 1), (2, 9, 1), (3, 1, 9), (4, None, 9)], "id int, d int, j int")
+    keys = spark.createDataFrame([(1,), (1,), (None,)], "id int")
+    marked = loading.mark_orphans(fact, {"d": keys, "j": keys})
+    assert sorted((r.id, r.orphan_column) for r in marked.collect()) == [(1, None), (2, "d"), (3, "j"), (4, "d")]
+    assert [r.id for r in loading.cascade_keep(fact, {"d": keys, "j": keys}).collect()] == [1]
