@@ -1,11 +1,15 @@
 """The two metrics: hires per quarter by dimension names, and groups above their yearly mean.
 
-Both are declared with the DataFrame API and planned by Catalyst. Three user-level rewrites keep
+Both are declared with the DataFrame API and planned by Catalyst. Four user-level rewrites keep
 the plan cheap at scale:
 
 * the optional year is a half-open range on the raw timestamp, so it reaches the Parquet scan;
-* the fact is pre-aggregated by its foreign keys before it meets the dimensions, so the joins see
-  one row per (keys, year) instead of one per fact row (partial aggregation absorbs hot keys);
+* the pivot's facts meet the dimensions as (key, key, quarter) and are counted once, by year and
+  names: pairs of keys hardly repeat, so counts by them would take memory and merge nothing. Small
+  dimensions are broadcast and hot names combined by the scan; a hot key in a shuffle join is split
+  by AQE;
+* above average, the fact is pre-aggregated by its one foreign key before it meets the dimension, so
+  the join sees one row per (key, year) instead of one per fact row;
 * the per-year mean is a tiny aggregate joined back on ``year`` instead of a second scan of the
   fact; AQE broadcasts it after measuring it, and splits a skewed year otherwise.
 """
@@ -43,18 +47,17 @@ def quarterly_pivot(
     """Year, dimension names and fact counts per quarter (q1..q4), optional year filter.
 
     Inner joins: facts without a matching dimension row drop out. Groups are by *names*, so two
-    dimension rows sharing a name fall into one group.
+    dimension rows sharing a name fall into one group. The first dimension is joined last, so that
+    after a shuffle join the tasks hold few of its names each: let it be the one with more names.
     """
     f = _year_filter(fact.select(fk1, fk2, ts), ts, year).where(F.col(ts).isNotNull())
-    quarter = F.quarter(ts)
-    pre = f.groupBy(F.col(fk1).alias("_k1"), F.col(fk2).alias("_k2"), F.year(ts).alias("year")).agg(
-        *[F.count_if(quarter == q).alias(f"_q{q}") for q in (1, 2, 3, 4)]
-    )
+    f = f.select(F.col(fk1).alias("_k1"), F.col(fk2).alias("_k2"), F.trunc(ts, "quarter").alias("_from"))
     d1 = dim1.select(F.col(dim1_key).alias("_k1"), F.col(dim1_name).alias(names[0]))
     d2 = dim2.select(F.col(dim2_key).alias("_k2"), F.col(dim2_name).alias(names[1]))
-    joined = pre.join(d1, "_k1").join(d2, "_k2")
-    out = joined.groupBy("year", names[0], names[1]).agg(
-        *[F.sum(f"_q{q}").cast("bigint").alias(f"q{q}") for q in (1, 2, 3, 4)]
+    joined = f.join(d2, "_k2").join(d1, "_k1")
+    quarter = F.quarter("_from")
+    out = joined.groupBy(F.year("_from").alias("year"), names[0], names[1]).agg(
+        *[F.count_if(quarter == q).alias(f"q{q}") for q in (1, 2, 3, 4)]
     )
     if ordered:
         out = out.orderBy(F.desc("year"), F.asc(names[0]), F.asc(names[1]))

@@ -41,6 +41,67 @@ def test_pivot_groups_by_name(spark):
     assert rows == [(2021, "Sales", "Clerk", 2, 0, 1, 1)]
 
 
+def test_pivot_holds_no_counts_by_pairs_of_keys(spark):
+    plan = _pivot(*_frames(spark))._jdf.queryExecution().executedPlan().toString()
+    aggregates = [x for x in plan.splitlines() if "HashAggregate(keys=" in x]
+    assert len(aggregates) == 2 and not any("_k1" in x or "_k2" in x for x in aggregates), plan
+
+
+def test_pivot_odd_rows(spark):
+    """Null keys, times and names, keys and names that come twice on either side, facts without a dimension row."""
+    fact = [
+        (i, d, j, t)
+        for i, (d, j, t) in enumerate(
+            (d, j, t)
+            for d in (1, 1, 2, 3, 9, None)
+            for j in (1, 2, 2, 9, None)
+            for t in (None, dt.datetime(1969, 12, 31, 23, 59, 59, 999999), dt.datetime(2021, 4, 1), dt.datetime(2021, 6, 30, 23, 59, 59))
+        )
+    ]
+    deps, jobs = [(1, "Sales"), (1, "Sales"), (2, None), (3, "Sales"), (None, "None")], [(1, "Clerk"), (2, "Lead"), (2, None), (None, "None")]
+    counts = {}
+    for _, d, j, t in fact:
+        for n1 in (n for k, n in deps if t and k is not None and k == d):
+            for n2 in (n for k, n in jobs if k is not None and k == j):
+                counts.setdefault((t.year, n1, n2), [0] * 4)[(t.month - 1) // 3] += 1
+    for kind in ("timestamp_ntz", "timestamp"):
+        out = _pivot(
+            spark.createDataFrame(fact, f"id int, department_id int, job_id int, datetime {kind}"),
+            spark.createDataFrame(deps, "id int, name string"),
+            spark.createDataFrame(jobs, "id int, name string"),
+        )
+        assert dict(out.dtypes) == {"year": "int", "department": "string", "job": "string"} | {f"q{q}": "bigint" for q in (1, 2, 3, 4)}
+        rows = out.collect()
+        assert len(rows) == len(counts) and {tuple(r[:3]): [*r[3:]] for r in rows} == counts
+
+
+def test_pivot_splits_a_hot_key(spark):
+    """Where no dimension is broadcast, the facts of one key are dealt to several tasks of either join."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    was = {k: spark.conf.get(k, None) for k in conf}
+    hot = "CAST(IF(id % 5 < 4, 7, id % 1000) AS int)"
+    fact = spark.range(0, 200_000, 1, 16).selectExpr(
+        f"{hot} AS department_id", f"{hot} AS job_id", "timestamp_ntz'2021-01-01' + make_dt_interval(CAST(id % 365 AS int)) AS datetime"
+    )
+    dim = spark.range(1000).selectExpr("CAST(id AS int) AS id", "CAST(id % 10 AS string) AS name")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = _pivot(fact, dim, dim)
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert plan.count("SortMergeJoin(skew=true)") == 2, plan
+    assert {r.department for r in rows} == {"4", "7", "9"} and sum(sum(r[3:]) for r in rows) == 200_000
+
+
 def test_pivot_year_filter_and_quarter_sum_law(spark):
     fact, deps, jobs = _frames(spark)
     assert [r.year for r in _pivot(fact, deps, jobs, year=2022).collect()] == [2022]
